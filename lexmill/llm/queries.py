@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lexmill.llm import frequent, near_duplicates, term_counts, top_n
+from lexmill.llm import abuse, encodings, frequent, leaks, mixing, near_duplicates, pieces, term_counts, top_n
 from lexmill.scratch import save
 from lexmill.sources.tables import revisions, table
 
@@ -59,6 +59,16 @@ def p3_groups(spark: SparkSession, d: str) -> DataFrame:
     return out.withColumnRenamed("id", "rev_id")
 
 
+def p4_pieces(spark: SparkSession, d: str) -> DataFrame:
+    """Revision texts over 6 000 characters as ordered pieces that repeat up to 200 characters."""
+    out = pieces.long_pieces(revisions(table(spark, d, "reduced_page").select("revision")), "rev_id", "text")
+    return out.withColumnRenamed("id", "rev_id")
+
+
+def p4_found(spark: SparkSession, d: str) -> DataFrame:
+    return p4_pieces(spark, d).where("piece = 0 AND n_pieces > 1").select("rev_id").distinct()
+
+
 def _page_terms(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
     pages = table(spark, d, "page_words").where("words IS NOT NULL").select("page_id", "lang", "words").dropDuplicates(["page_id"])
     terms = pages.select("lang", F.explode("words").alias("word", "n")).withColumn("pages", F.lit(1))
@@ -86,6 +96,69 @@ def p5_found(spark: SparkSession, d: str) -> DataFrame:
     return p5_terms(spark, d).where("mark IS NOT NULL").select("lang", "word", "mark")
 
 
+def _scores(spark: SparkSession, d: str) -> DataFrame:
+    texts = revisions(table(spark, d, "reduced_page").select("source", "revision"))
+    model = abuse.fit(texts, "rev_id", "text", abuse.votes(table(spark, d, "review_labels"), "rev_id", "rater", "label"))
+    return abuse.scored(texts, "rev_id", "text", model, keep=("source",)).distinct()
+
+
+def p6_scores(spark: SparkSession, d: str) -> DataFrame:
+    """Every revision with its score for abusive language, and whether to review it."""
+    return _scores(spark, d).withColumnRenamed("id", "rev_id")
+
+
+def p6_rates(spark: SparkSession, d: str) -> DataFrame:
+    """Per source: revisions, those to review, and their rate."""
+    rows = _scores(spark, d).groupBy("source").agg(F.count("*").alias("revisions"), F.sum(F.col("review").cast("bigint")).alias("to_review"), F.avg("score").alias("mean_score"))
+    return rows.withColumn("rate", F.col("to_review") / F.col("revisions"))
+
+
+def p6_found(spark: SparkSession, d: str) -> DataFrame:
+    return _scores(spark, d).where("review").select(F.col("id").alias("rev_id")).distinct()
+
+
+def p7_leaks(spark: SparkSession, d: str) -> DataFrame:
+    """Documents with passages of evaluation items: the longest exact run and the longest overlap with substitutions, in words."""
+    out = leaks.leaks(table(spark, d, "documents"), "doc_id", "text", table(spark, d, "eval_items"), "item_id", "text")
+    return out.select(F.col("id").alias("doc_id"), F.col("item").alias("item_id"), "exact_run", "overlap")
+
+
+def p7_items(spark: SparkSession, d: str) -> DataFrame:
+    """Leaked items with the number of documents that contain a run of 12 of their words."""
+    return p7_leaks(spark, d).where("exact_run >= 12").groupBy("item_id").agg(F.count("*").alias("documents"), F.max("exact_run").alias("longest_run"))
+
+
+def p7_found(spark: SparkSession, d: str) -> DataFrame:
+    return p7_leaks(spark, d).where("exact_run >= 12").select("doc_id", "item_id")
+
+
+def _mixed(spark: SparkSession, d: str) -> tuple[DataFrame, list[dict]]:
+    texts = save(mixing.sized(table(spark, d, "documents"), "doc_id", "text", "source"), "texts")
+    entries = mixing.plan(texts, table(spark, d, "mix_targets"))
+    return mixing.mix(texts, entries), entries
+
+
+def p8_mix(spark: SparkSession, d: str) -> DataFrame:
+    """The documents of the mixture with the number of copies of each."""
+    mixed, _ = _mixed(spark, d)
+    return mixed.withColumnRenamed("id", "doc_id")
+
+
+def p8_shares(spark: SparkSession, d: str) -> DataFrame:
+    """Per source of mix_targets: target and actual share of the tokens, and what was available and used."""
+    return mixing.shares(*_mixed(spark, d))
+
+
+def p9_repaired(spark: SparkSession, d: str) -> DataFrame:
+    """Garbled documents with their text as far as it could be restored."""
+    out = encodings.garbled(table(spark, d, "documents"), "doc_id", "text")
+    return out.select(F.col("id").alias("doc_id"), "text", F.array_join("ways", ",").alias("ways"), "runs", "lost").distinct()
+
+
+def p9_found(spark: SparkSession, d: str) -> DataFrame:
+    return p9_repaired(spark, d).select("doc_id").distinct()
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {name: f for name, f in globals().items() if name[:1] == "p" and name[1:2].isdigit()}
 
@@ -107,6 +180,11 @@ run AS (SELECT DISTINCT rev_id, unnest(list_transform(range(1, len(w) - 1), lamb
 n AS (SELECT rev_id, count(*) AS n FROM run GROUP BY rev_id),
 both_in AS (SELECT a.rev_id AS rev_id_a, b.rev_id AS rev_id_b, count(*) AS c FROM run a JOIN run b ON a.run = b.run AND a.rev_id < b.rev_id GROUP BY 1, 2)
 SELECT rev_id_a, rev_id_b FROM both_in JOIN n a ON a.rev_id = rev_id_a JOIN n b ON b.rev_id = rev_id_b WHERE c >= 0.7 * (a.n + b.n - c)"""
+_P4 = "SELECT DISTINCT r.rev_id FROM (SELECT unnest(revision) AS r FROM reduced_page) WHERE length(r.text) > 6000"
+_P7 = """WITH w AS (SELECT doc_id AS id, 'd' AS kind, regexp_extract_all(lower(text), '[\\p{L}\\p{N}]+') AS w FROM documents
+UNION ALL SELECT item_id, 'i', regexp_extract_all(lower(text), '[\\p{L}\\p{N}]+') FROM eval_items),
+run AS (SELECT DISTINCT kind, id, unnest(list_transform(range(1, len(w) - 10), lambda i: array_to_string(w[i:i + 11], ' '))) AS run FROM w WHERE len(w) >= 12)
+SELECT DISTINCT a.id AS doc_id, b.id AS item_id FROM run a JOIN run b ON a.run = b.run WHERE a.kind = 'd' AND b.kind = 'i'"""
 _P5_MARK = "CASE WHEN pages <= 2 THEN 'rare' WHEN pages >= 3 AND pages >= 0.15 * total THEN 'common' END"
 _P5 = f"""WITH page AS (SELECT page_id, any_value(lang) AS lang, any_value(words) AS words FROM page_words WHERE words IS NOT NULL GROUP BY page_id),
 t AS (SELECT lang, unnest(map_entries(words)) AS e FROM page),
@@ -126,7 +204,9 @@ def oracle_sql() -> dict[str, str]:
         "p1_found": f"SELECT 'page' AS grp, page_id AS group_id, word FROM ({_PAGE_TOP}) UNION ALL SELECT 'topic', topic_id, word FROM ({_TOPIC_TOP})",
         "p2_found": _P2,
         "p3_found": _RUNS,
+        "p4_found": _P4,
         "p5_terms": _P5,
         "p5_global_terms": _P5_GLOBAL,
+        "p7_found": _P7,
         "p5_found": f"SELECT lang, word, mark FROM ({_P5}) WHERE mark IS NOT NULL",
     }
