@@ -1 +1 @@
-
+"""Incremental work on arriving pages."""
