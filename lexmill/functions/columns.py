@@ -59,41 +59,32 @@ def parse_time(flag: Column) -> Column:
     return F.to_timestamp(flag, "yyyy-MM-dd'T'HH:mm")
 
 
+#: Patterns and replacements, in order; few passes, as each reads the whole text.
 _MARKUP = (
-    (r"(?s)<!--.*?-->", " "),
-    (r"(?is)<(script|style|ref)\b[^>]*?/>", " "),
-    (r"(?is)<script\b.*?</script>", " "),
-    (r"(?is)<style\b.*?</style>", " "),
-    (r"(?is)<ref\b.*?</ref>", " "),
-    (r"(?s)\{\{[^{}]*\}\}", " "),
-    (r"(?s)\{\{[^{}]*\}\}", " "),
-    (r"(?s)\{\|.*?\|\}", " "),
-    (r"\[\[(?:[Ff]ile|[Ii]mage|[Cc]ategory):[^\[\]]*\]\]", " "),
-    (r"\[\[[^\[\]|]*\|([^\[\]]*)\]\]", "$1"),
-    (r"\[\[([^\[\]]*)\]\]", "$1"),
-    (r"\[[a-z]+://[^\s\]]+\s*([^\]]*)\]", "$1"),
-    (r"</?[A-Za-z][^>]*>", " "),
+    (r"(?is)<!--.*?-->|<(?:script|style|ref)\b[^>]*?/>|<script\b.*?</script>|<style\b.*?</style>|<ref\b.*?</ref>|\{\{[^{}]*\}\}", " "),
+    (r"(?is)\{\{[^{}]*\}\}|\{\|.*?\|\}|\[\[(?:file|image|category):[^\[\]]*\]\]", " "),
+    (r"\[\[(?:[^\[\]|]*\|)?([^\[\]]*)\]\]|\[[a-z]+://[^\s\]]+\s*([^\]]*)\]", "$1$2"),
+    (r"</?[A-Za-z][^>]*>|&nbsp;", " "),
     (r"(?m)^=+[ \t]*(.*?)[ \t]*=+[ \t]*$", "$1"),
-    (r"'{2,5}", ""),
-    (r"(?m)^[*#:;]+[ \t]*", ""),
-    (r"&nbsp;", " "),
-    (r"&lt;", "<"),
-    (r"&gt;", ">"),
-    (r"&quot;", '"'),
-    (r"&amp;", "&"),
+    (r"(?m)'{2,5}|^[*#:;]+[ \t]*", ""),
 )
+_ENTITIES = (("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&amp;", "&"))
 
 
 def clean_markup(text: Column) -> Column:
     """Text without HTML and common wiki markup: link texts and headings stay, templates, references and tables go."""
     for pattern, by in _MARKUP:
-        text = F.regexp_replace(text, pattern, by)
+        text = F.regexp_replace(text, pattern.replace("(?m)", "(?md)"), by)
+    for entity, by in _ENTITIES:
+        text = F.replace(text, F.lit(entity), F.lit(by))
     return text
 
 
 def markup_sql(column: str) -> str:
     """``clean_markup`` as an SQL expression for RE2 engines."""
     for pattern, by in _MARKUP:
-        quoted, to = (x.replace("'", "''") for x in (pattern, by.replace("$1", "\\1")))
+        quoted, to = (x.replace("'", "''") for x in (pattern, by.replace("$", "\\")))
         column = f"regexp_replace({column}, '{quoted}', '{to}', 'g')"
+    for entity, by in _ENTITIES:
+        column = f"replace({column}, '{entity}', '{by}')"
     return column

@@ -45,7 +45,7 @@ def latest_revisions(revs: DataFrame, n: int, page: str = "page_id", ts: str = "
     is sent: a page with a third of all revisions is no hot key.
     """
     order = Window.partitionBy(page).orderBy(F.col(ts).desc_nulls_last(), F.col(tie).desc())
-    top = revs.withColumn("_rank", F.dense_rank().over(order)).where(F.col("_rank") <= n).drop("_rank")
+    top = revs.withColumn("_lexmill_rank", F.dense_rank().over(order)).where(F.col("_lexmill_rank") <= n).drop("_lexmill_rank")
     return top.dropDuplicates([page, tie])
 
 

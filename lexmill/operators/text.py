@@ -61,9 +61,12 @@ def stopword_table(spark, langs: list[str]) -> DataFrame:
 
 
 def explode_tokens(df: DataFrame) -> DataFrame:
-    """One row per alphabetic token, with ``pos`` its place in the text."""
+    """One row per alphabetic token, with ``pos`` its place in the text.
+
+    The outer form is meant: for the inner one the optimiser adds a filter on the array's size, which evaluates the whole cleaning twice.
+    """
     others = [c for c in df.columns if c != "tokens"]
-    return df.select(*others, F.posexplode("tokens").alias("pos", "term")).where(C.alphabetic(F.col("term")))
+    return df.select(*others, F.posexplode_outer("tokens").alias("pos", "term")).where(C.alphabetic(F.col("term")))
 
 
 def drop_stopwords(tokens: DataFrame, stop: DataFrame, other: frozenset[str] = config.stopwords("")) -> DataFrame:
