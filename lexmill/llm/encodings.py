@@ -71,22 +71,25 @@ def _weight(c: str) -> float:
         known = 0xC0 <= o < 0x180 or 0x218 <= o < 0x21C or 0x386 <= o < 0x3CF or 0x400 <= o < 0x460 or 0x1E00 <= o < 0x1F00 or 0x3040 <= o < 0x3100 or 0xAC00 <= o < 0xD7B0
         return 0.6 if known and c not in "ªº" else 1.3 if c in "ªº" else 3
     if o < 0x100:
-        return 0.5 if o == 0xA0 else 1.3
+        return 0.5 if o == 0xA0 else 0.9 if c in "¿¡£§©°" else 1.3
     return 1.6
 
 
 def cost(run: str, before: str = "") -> float:
     """How garbled a run looks after the character ``before``."""
-    total = 0.0
+    total, letters = 0.0, 0
     for i, c in enumerate(run):
         total += _weight(c)
+        letters = letters + 1 if 0xC0 <= ord(c) < 0x180 else 0
+        if letters > 3:
+            total += 0.4
         prev = run[i - 1] if i else before
         if c.isupper():
             if prev.islower():
                 total += 0.8
             elif not i and "A" <= prev <= "Z":
                 total -= 0.55
-        elif i and prev.isupper() and c in QUOTES and "A" <= before <= "Z":
+        elif i == 1 and len(run) == 2 and prev.isupper() and c in QUOTES and "A" <= before <= "Z":
             total -= 0.4
     return total
 
@@ -104,40 +107,56 @@ def _plausible(run: str, out: str, way: tuple[str, str]) -> bool:
     if way[1] == "gbk":
         return len(out) >= 4 and len(set(out)) >= 3 and sum(map(_common_hanzi, out)) >= 0.85 * len(out)
     if way[1] != "utf-8":
-        return len(run) >= 4 and all("Ѐ" <= c < "Ѡ" for c in out) and sum(map(str.isupper, out)) <= 1
+        return len(run) >= (8 if way[1] == "koi8-r" else 4) and all("Ѐ" <= c < "Ѡ" for c in out) and sum(map(str.isupper, out)) <= 1
     return True
 
 
-def _once(run: str, before: str) -> tuple[str, tuple[str, str]] | None:
-    """The best strict decoding of the whole run that lowers the cost."""
-    best, price = None, cost(run, before) - 1e-9
-    for way in [(e, "utf-8") for e in READ_AS] + list(OTHERS):
-        raw = _encode(run, way[0])
-        if raw is None:
-            continue
-        try:
-            out = raw.decode(way[1])
-        except UnicodeDecodeError as e:
-            if way[1] != "gbk" or e.start < len(raw) - 1 or raw[-1] < 0x80:
-                continue
-            out = raw[:-1].decode(way[1]) + run[-1]  # the last character may be the first of a correct word
-        if out != run and (now := cost(out, before)) < price and _plausible(run, out, way):
-            best, price = (out, way), now
-    return best
+MARGIN = 0.25  # by which the cost must drop
+WAYS = (*((e, "utf-8") for e in READ_AS), *OTHERS)
+
+
+def _decoded(run: str, way: tuple[str, str]) -> str | None:
+    """The run re-encoded and strictly decoded, if that can be done and gives something plausible."""
+    raw = _encode(run, way[0])
+    if raw is None:
+        return None
+    try:
+        out = raw.decode(way[1])
+    except UnicodeDecodeError as e:
+        if way[1] != "gbk" or e.start < len(raw) - 1 or raw[-1] < 0x80:
+            return None
+        out = raw[:-1].decode(way[1]) + run[-1]  # the last character may be the first of a correct word
+    return out if out != run and _plausible(run, out, way) else None
+
+
+@functools.lru_cache(50_000)
+def options(run: str, before: str) -> tuple[tuple[float, str, tuple[str, str]], ...]:
+    """The decodings of the whole run that lower its cost, best first."""
+    price = cost(run, before) - MARGIN
+    found = [(cost(out, before), k, out, way) for k, way in enumerate(WAYS) if (out := _decoded(run, way)) is not None]
+    return tuple((c, out, way) for c, _, out, way in sorted(found) if c < price)
 
 
 @functools.lru_cache(50_000)
-def whole(run: str, before: str) -> tuple[str, tuple[tuple[str, str], ...]]:
-    """The run repaired through all its layers, and the ways taken."""
+def whole(run: str, before: str, prefer: tuple[str, str] | None = None) -> tuple[str, tuple[tuple[str, str], ...]]:
+    """The run repaired through all its layers, and the ways taken; the preferred way is taken where it is one of the options."""
     ways = []
-    while len(ways) < LAYERS and (step := _once(run, before)):
-        run = step[0]
-        ways.append(step[1])
-        if len(run) == 1:
-            break
+    while len(ways) < LAYERS and len(run) > 1 and (found := options(run, before)):
+        _, run, way = next((o for o in found if o[2] == prefer), found[0])
+        ways.append(way)
     return run, tuple(ways)
 
 
+def common_way(runs: list[tuple[str, str]]) -> tuple[str, str] | None:
+    """Of a text's runs, the way that lowers their cost most; a text was mostly read wrongly in one way."""
+    gain: Counter = Counter()
+    for (run, before), n in Counter(runs).items():
+        now = cost(run, before)
+        for c, _, way in options(run, before):
+            gain[way] += (now - c) * n
+    return min(gain, key=lambda w: (-round(gain[w], 6), WAYS.index(w))) if gain else None
+
+
 @functools.lru_cache(50_000)
 def partly(run: str, before: str, name: str) -> str:
     """The run with those parts repaired that are UTF-8 read as ``name``."""
@@ -160,24 +179,21 @@ def partly(run: str, before: str, name: str) -> str:
 def repair(text: str) -> tuple[str, list[str], int]:
     """(text as repaired, ways such as 'cp1252>utf-8' by number of runs, runs repaired)."""
     ways: Counter = Counter()
-    parts, left, at = [], [], 0
-    for m in RUN.finditer(text):
-        before = text[m.start() - 1] if m.start() else ""
-        fixed, taken = whole(m.group(), before)
-        parts.append(text[at : m.start()])
-        at = m.end()
-        if not taken:
-            left.append((len(parts), before))
-        parts.append(fixed)
+    found = [(m, text[m.start() - 1] if m.start() else "") for m in RUN.finditer(text)]
+    prefer = common_way([(m.group(), before) for m, before in found])
+    if prefer is None:
+        return text, [], 0
+    parts, n, at = [], 0, 0
+    for m, before in found:
+        run = m.group()
+        fixed, taken = whole(run, before, prefer)
+        if not taken and prefer[1] == "utf-8":
+            fixed = partly(run, before, prefer[0])
+        n += fixed != run
         ways.update(taken)
+        parts += [text[at : m.start()], fixed]
+        at = m.end()
     parts.append(text[at:])
-    n = sum(ways.values())
-    if ways and left and ways.most_common(1)[0][0][1] == "utf-8":
-        name = ways.most_common(1)[0][0][0]
-        for k, before in left:
-            now = partly(parts[k], before, name)
-            n += now != parts[k]
-            parts[k] = now
     return "".join(parts), [f"{a}>{b}" for (a, b), _ in ways.most_common()], n
 
 
