@@ -347,7 +347,8 @@ def class_pairs(df: DataFrame, id_col: str, text_col: str, threshold: float = 0.
     rows = df.select(F.col(id_col).cast("bigint").alias("id"), F.col(text_col).alias("text")).where("id IS NOT NULL AND text IS NOT NULL")
     if buckets is None:
         size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-        buckets = max(int(spark.conf.get("spark.sql.shuffle.partitions")), min(size >> 23, 100_000))
+        known = size if size < 1 << 60 else 0  # a plan that isn't over files has no estimate
+        buckets = max(int(spark.conf.get("spark.sql.shuffle.partitions")), min(known >> 23, 100_000))
     survey = save(rows.mapInArrow(_survey(k, min_words), "kind tinyint, a bigint, b bigint"), "survey")
     levels = spark.sparkContext.broadcast(_levels(survey.where("kind = 1").select("a", "b")))
     members = survey.where("kind = 0").select(F.col("a").alias("cid"), F.col("b").alias("id")).distinct()
