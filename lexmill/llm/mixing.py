@@ -4,7 +4,8 @@ Each source s gets the same expected number of copies for each of its texts, e =
 where T is the size of the whole.  In every source the texts are put in order of size
 (then by a hash), expected copies are summed along that order, one random offset is added, and a text is
 emitted once for every integer that its stretch crosses: floor(e) or ceil(e) times.  The order by size
-makes the tokens reached differ from the target by little more than one large text.
+keeps the tokens reached within about one large text of the target; as a source may have a few huge texts,
+the offset is the one of ``OFFSETS`` random ones that comes nearest to the target.
 
 The sum along the order is distributed: counts by size, by hash bucket within a size, and ranks
 within a bucket, so that no task holds a whole source.
@@ -30,6 +31,7 @@ TOKENIZER = "/opt/tokenizers/byte_bpe_50k.tiktoken"
 #: The split of a text into pieces before merges, fixed with the vocabulary.
 PATTERN = r"""'(?:[sdmt]|ll|ve|re)| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 BUCKETS = 1024
+OFFSETS = 32
 
 
 @functools.cache
@@ -91,10 +93,21 @@ def mix(texts: DataFrame, entries: list[dict], seed: int = 42) -> DataFrame:
     by_bucket = small.select("source", "tokens", "bucket", F.coalesce(F.sum("n").over(before("source", "tokens", "bucket")), F.lit(0)).alias("ahead"))
     rank = F.row_number().over(Window.partitionBy("source", "tokens", "bucket").orderBy("h1", "id"))
     placed = rows.withColumn("rank", rank).join(by_bucket, ["source", "tokens", "bucket"]).join(by_size, ["source", "tokens"])
-    at = F.col("under") + F.col("ahead") + F.col("rank")
-    offset = F.pmod(F.xxhash64(F.lit(seed), "source"), F.lit(1 << 40)) / float(1 << 40)
-    crossed = F.floor(offset + at * F.col("rate")) - F.floor(offset + (at - 1) * F.col("rate"))
-    return placed.select("id", "source", "tokens", crossed.cast("bigint").alias("copies")).where("copies > 0")
+    placed = save(placed.select("id", "source", "tokens", "rate", (F.col("under") + F.col("ahead") + F.col("rank")).alias("at")), "placed")
+
+    def crossed(offset) -> Column:
+        return (F.floor(offset + F.col("at") * F.col("rate")) - F.floor(offset + (F.col("at") - 1) * F.col("rate"))).cast("bigint")
+
+    def random_offset(k: int) -> Column:
+        return F.pmod(F.xxhash64(F.lit(seed + k), "source"), F.lit(1 << 40)) / float(1 << 40)
+
+    # one row per source: how far each random offset ends from the target
+    off = [F.abs(F.sum(F.col("tokens") * (crossed(random_offset(k)) - F.col("rate")))).alias(f"d{k}") for k in range(OFFSETS)]
+    missed = placed.groupBy("source").agg(*off).collect()
+    best = [(r["source"], min(range(OFFSETS), key=lambda k: r[f"d{k}"])) for r in missed]
+    chosen = spark.createDataFrame(best, "source string, k int")
+    offset = F.pmod(F.xxhash64(F.lit(seed) + F.col("k"), "source"), F.lit(1 << 40)) / float(1 << 40)
+    return placed.join(F.broadcast(chosen), "source").select("id", "source", "tokens", crossed(offset).alias("copies")).where("copies > 0")
 
 
 def shares(mixed: DataFrame, entries: list[dict]) -> DataFrame:
