@@ -22,7 +22,8 @@ def shared_dir(spark: SparkSession) -> str:
         current = spark.sparkContext._jsc.sc().getCheckpointDir()
         if current.isDefined():
             return current.get()
-        if not spark.sparkContext.master.startswith("local["):
+        master = spark.sparkContext.master
+        if not master.startswith("local") or master.startswith("local-cluster"):
             raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         path = tempfile.mkdtemp(prefix="lexmill-")
         spark.sparkContext.setCheckpointDir(path)
