@@ -34,7 +34,8 @@ def p1_found(spark: SparkSession, d: str) -> DataFrame:
 
 def _page_tokens(spark: SparkSession, d: str) -> DataFrame:
     pages = table(spark, d, "normalised_page").select("page_id", "lang", F.flatten(F.filter(F.col("revision.text"), lambda x: x.isNotNull())).alias("tokens"))
-    return save(pages.dropDuplicates(["page_id"]).select("lang", "tokens"), "tokens")
+    alone = F.when(F.col("page_id").isNull(), F.xxhash64("tokens")).alias("alone")  # pages without an id are told apart by content
+    return save(pages.select("*", alone).dropDuplicates(["page_id", "alone"]).select("lang", "tokens"), "tokens")
 
 
 def p2_counts(spark: SparkSession, d: str) -> DataFrame:
@@ -70,7 +71,8 @@ def p4_found(spark: SparkSession, d: str) -> DataFrame:
 
 
 def _page_terms(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
-    pages = table(spark, d, "page_words").where("words IS NOT NULL").select("page_id", "lang", "words").dropDuplicates(["page_id"])
+    alone = F.when(F.col("page_id").isNull(), F.to_json("words")).alias("alone")  # pages without an id are told apart by content
+    pages = table(spark, d, "page_words").where("words IS NOT NULL").select("page_id", "lang", "words", alone).dropDuplicates(["page_id", "alone"])
     terms = pages.select("lang", F.explode("words").alias("word", "n")).withColumn("pages", F.lit(1))
     totals = pages.where(F.size("words") > 0).groupBy(F.col("lang").alias("tk")).agg(F.count("*").alias("total"))
     return terms, totals

@@ -93,7 +93,9 @@ def _aggregate(spill: str | None):
         con.execute(f"SET memory_limit = '{MEMORY}'")
         con.execute("SET threads = 1")
         con.execute("SET preserve_insertion_order = false")
-        if spill:
+        if not spill:
+            con.execute("SET temp_directory = ''")  # the shared folder is no path here: parts are small enough for memory
+        else:
             folder = f"{spill}/duckdb-{uuid.uuid4().hex}"
             os.makedirs(folder, exist_ok=True)
             con.execute(f"SET temp_directory = '{folder}'")
