@@ -17,8 +17,9 @@ def page_terms(tokens: DataFrame) -> DataFrame:
 
 
 def normalised_terms(pages: DataFrame) -> DataFrame:
-    """Page terms of pages with token arrays, each page once; null tokens don't count."""
-    once = pages.select("lang", "page_id", "topic_id", F.flatten(F.filter(F.col("revision.text"), lambda x: x.isNotNull())).alias("tokens")).dropDuplicates(["page_id"])
+    """Page terms of pages with token arrays, each page once; null tokens don't count. Pages without an id are told apart by content."""
+    pages = pages.select("lang", "page_id", "topic_id", F.flatten(F.filter(F.col("revision.text"), lambda x: x.isNotNull())).alias("tokens"))
+    once = pages.withColumn("_alone", F.when(F.col("page_id").isNull(), F.xxhash64("tokens"))).dropDuplicates(["page_id", "_alone"])
     return page_terms(once.select("lang", "page_id", "topic_id", F.explode("tokens").alias("term")).where("term IS NOT NULL"))
 
 
