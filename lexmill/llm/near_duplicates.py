@@ -17,13 +17,17 @@ least ``threshold`` of those found in either.
    hot is cut into tile pairs that are separate groups, spread over all tasks.
 4. *Verification.*  Surviving pairs are verified on the full sets.
 
-Nulls: rows with a null id or null text are left out; texts with fewer than ``min_words``
-words match nothing.  A row delivered twice counts once.  Class ids are 64-bit hashes.
+Texts with fewer than ``k`` words have no runs: those with the same words in the same order (without
+words, the same text) form one class, which has no keys and is near no other.
+
+Nulls: rows with a null id or null text are left out, as are texts with fewer than ``min_words``
+words.  A row delivered twice counts once.  Class ids are 64-bit hashes.
 """
 
 from __future__ import annotations
 
 import math
+import hashlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -54,7 +58,7 @@ def _radius(threshold: float, total: np.ndarray) -> np.ndarray:
 
 
 def _sets(texts: list[str], k: int, min_words: int) -> Iterator[tuple[int, np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
-    """By block: offset, text of each run, run, and per text the number of runs and the class id; 0 runs if too short."""
+    """By block: offset, text of each run, run, and per text the number of runs and the class id; no runs below k words, class 0 below min_words."""
     for lo, hi in vec.blocks(texts):
         w = vec.words(texts[lo:hi])
         doc, run = vec.shingles(w, k)
@@ -65,9 +69,24 @@ def _sets(texts: list[str], k: int, min_words: int) -> Iterator[tuple[int, np.nd
         total = np.concatenate(([U64(0)], np.cumsum(vec.mix(run), dtype=U64)))
         last = np.cumsum(n)
         cid = vec.mix((total[last] - total[last - n]) ^ (n.astype(U64) << U64(40)))
+        few = np.flatnonzero((w.counts() >= min_words) & (w.counts() < k))
+        cid[few] = _short_classes(texts[lo:hi], w, few)
         yield lo, doc, run, n, cid.view(np.int64)
 
 
+def _short_classes(texts: list[str], w: vec.Words, few: np.ndarray) -> np.ndarray:
+    """Classes of texts without runs, by their words in order, or by the text itself if it has none."""
+    count = w.counts()[few]
+    out = count.astype(U64)
+    for j in range(int(count.max(initial=0))):
+        more = count > j
+        out[more] = vec.mix(out[more]) + w.hash[w.first[few[more]] + j]
+    for i in np.flatnonzero(count == 0):
+        out[i] = int.from_bytes(hashlib.blake2b(texts[few[i]].encode("utf-8", "surrogatepass"), digest_size=8).digest())
+    out = vec.mix(out ^ U64(0x5851F42D4C957F2D))
+    return np.where(out == 0, U64(1), out)
+
+
 def _cells(run: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return (run & U64(CELLS - 1)).astype(np.int64), ((run >> U64(20)) & U64(CELLS - 1)).astype(np.int64)
 
@@ -82,7 +101,7 @@ def _survey(k: int, min_words: int):
             for lo, _, runs, n, cid in _sets(texts, k, min_words):
                 a, c = _cells(runs)
                 counts += np.bincount(np.concatenate((a, c + CELLS)), minlength=2 * CELLS)
-                at = np.flatnonzero(n)
+                at = np.flatnonzero(cid)
                 yield _table(np.zeros(len(at), np.int8), cid[at], ids[lo + at])
         heavy = np.flatnonzero(counts >= max(LOCAL_HEAVY, 4 * counts.mean()))
         yield _table(np.ones(len(heavy), np.int8), heavy, counts[heavy])

@@ -160,6 +160,18 @@ def test_groups_are_components(spark):
     assert {frozenset(i for i in root if root[i] == g) for g in set(root.values())} == {frozenset(i for i in root if find(i) == g) for g in {find(i) for i in root}}
 
 
+def test_groups_hold_short_texts(spark):
+    """Texts with fewer words than a run come out, exact copies in one group; only min_words leaves texts out."""
+    texts = ["See above", "see above!", "above see", "ok", "OK", "", "", " ", "...", "中文没有空格的长句子" * 40, "中文没有空格的长句子" * 40, "a b c d", "a b c d e", "a b c d e", None]
+    df = spark.createDataFrame([*enumerate(texts), (None, "ok"), (3, "ok")], "i bigint, t string").repartition(3)
+    out = near_duplicates.near_duplicate_groups(df, "i", "t", 0.8, 5).collect()
+    assert sorted(r.id for r in out) == [i for i, t in enumerate(texts) if t is not None]
+    groups = {frozenset(r.id for r in out if r.group_id == g) for g in {r.group_id for r in out}}
+    assert groups == {frozenset(g) for g in ((0, 1), (2,), (3, 4), (5, 6), (7,), (8,), (9, 10), (11,), (12, 13))}
+    assert {(r.id_a, r.id_b) for r in near_duplicates.near_duplicate_pairs(df, "i", "t").collect()} == {(0, 1), (3, 4), (5, 6), (9, 10), (12, 13)}
+    assert {r.id for r in near_duplicates.near_duplicate_groups(df, "i", "t", 0.8, 5, min_words=2).collect()} == {0, 1, 2, 11, 12, 13}
+
+
 def test_components_of_a_long_chain(spark):
     edges = spark.createDataFrame([(i, i + 1) for i in range(70)] + [(100, 101), (5, 5)], "a bigint, b bigint")
     got = {r.node: r.root for r in near_duplicates.components(edges).collect()}
