@@ -15,7 +15,7 @@ least ``threshold`` of those found in either.
    sets' symmetric difference, which the threshold bounds by a radius.  Tile pairs whose
    population counts differ by more than the radius are skipped.  A key that the sketch calls
    hot is cut into tile pairs that are separate groups, spread over all tasks.
-4. *Verification.*  Surviving pairs are verified on the full sets.
+4. *Verification.*  Surviving pairs are verified on the full sets of 48-bit run hashes.
 
 Texts with fewer than ``k`` words have no runs: those with the same words in the same order (without
 words, the same text) form one class, which has no keys and is near no other.
@@ -317,7 +317,7 @@ def _bloom(ids: DataFrame):
 
 
 def _arrays(k: int, min_words: int, bloom):
-    """Task: the set of each class in the bitmap, as 32-bit hashes in order."""
+    """Task: the set of each class in the bitmap, as 48-bit hashes in order."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bits, seen = bloom.value, set()
@@ -331,7 +331,8 @@ def _arrays(k: int, min_words: int, bloom):
                     if (c := int(cid[i])) not in seen:
                         seen.add(c)
                         ids.append(c)
-                        blobs.append((runs[last[i] - n[i] : last[i]] & U64(0xFFFFFFFF)).astype(np.uint32).tobytes())
+                        own = runs[last[i] - n[i] : last[i]]
+                        blobs.append(own.astype(np.uint32).tobytes() + (own >> U64(32)).astype(np.uint16).tobytes())
                 if len(seen) > 1_000_000:
                     seen.clear()
                 yield pa.record_batch([pa.array(ids, pa.int64()), pa.array(blobs, pa.binary())], names=["cid", "runs"])
@@ -339,12 +340,17 @@ def _arrays(k: int, min_words: int, bloom):
     return run
 
 
+def _unpack(blob: bytes) -> np.ndarray:
+    n = len(blob) // 6
+    return np.frombuffer(blob, np.uint32, n).astype(U64) | (np.frombuffer(blob, np.uint16, n, 4 * n).astype(U64) << U64(32))
+
+
 def _verify(threshold: float):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             keep, share = [], []
             for i, (x, y) in enumerate(zip(b.column(2).to_pylist(), b.column(3).to_pylist())):
-                x, y = np.frombuffer(x, np.uint32), np.frombuffer(y, np.uint32)
+                x, y = _unpack(x), _unpack(y)
                 both = np.sort(np.concatenate((x, y)))
                 both = int((both[1:] == both[:-1]).sum())
                 j = both / (len(x) + len(y) - both)

@@ -3,8 +3,10 @@
 import collections
 import random
 import re
+import types
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from lexmill.llm import abuse, encodings, frequent, leaks, mixing, near_duplicates, pieces, queries, term_counts, top_n, vec
@@ -160,6 +162,18 @@ def test_groups_are_components(spark):
     assert {frozenset(i for i in root if root[i] == g) for g in set(root.values())} == {frozenset(i for i in root if find(i) == g) for g in {find(i) for i in root}}
 
 
+def test_verification_tells_runs_apart_that_share_32_bits(monkeypatch):
+    low = np.arange(1, 11, dtype=np.uint64)
+    runs = np.concatenate((low, low | np.uint64(1 << 40)))  # two sets without a common run
+    monkeypatch.setattr(near_duplicates, "_sets", lambda *_: iter([(0, np.repeat([0, 1], 10), runs, np.array([10, 10]), np.array([7, 8]))]))
+    everything = types.SimpleNamespace(value=np.full(near_duplicates.BLOOM // 8, 255, np.uint8))
+    (sets,) = near_duplicates._arrays(5, 0, everything)([pa.record_batch([pa.array(["", ""])], names=["text"])])
+    x, y = sets.column("runs")
+    pairs = pa.record_batch([pa.array([7, 7]), pa.array([8, 7]), pa.array([x, x]), pa.array([y, x])], names=["a", "b", "x", "y"])
+    (got,) = near_duplicates._verify(0.8)([pairs])
+    assert got.to_pylist() == [{"a": 7, "b": 7, "similarity": 1.0}]
+
+
 def test_groups_hold_short_texts(spark):
     """Texts with fewer words than a run come out, exact copies in one group; only min_words leaves texts out."""
     texts = ["See above", "see above!", "above see", "ok", "OK", "", "", " ", "...", "中文没有空格的长句子" * 40, "中文没有空格的长句子" * 40, "a b c d", "a b c d e", "a b c d e", None]
