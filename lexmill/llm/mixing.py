@@ -10,9 +10,9 @@ the offset is the one of ``OFFSETS`` random ones that comes nearest to the targe
 The sum along the order is distributed: counts by size, by hash bucket within a size, and ranks
 within a bucket, so that no task holds a whole source.
 
-Sources are compared without case and outer spaces.  Texts that come under several ids count
-as one text, that of the smallest id, whatever its source.  Null, empty or token-less texts,
-and null sources, are not used.  Sources without documents can't be reached; the others' shares are scaled up to 1.
+Sources are compared without case and outer spaces.  Null, empty or token-less texts,
+null sources and sources without a target are not used.  Of the rest, texts that come under several ids
+count as one text, that of the smallest id, whatever its source.  Sources without documents can't be reached; the others' shares are scaled up to 1.
 """
 
 from __future__ import annotations
@@ -57,18 +57,27 @@ def source_name(c: Column) -> Column:
     return F.lower(F.trim(c))
 
 
-def sized(docs: DataFrame, id_col: str, text_col: str, source_col: str, tokenizer_path: str = TOKENIZER) -> DataFrame:
-    """(id, source, h1, tokens) of each distinct text."""
+def wanted(targets: DataFrame) -> DataFrame:
+    """The targets that can be used, by source."""
+    rows = targets.select(source_name(F.col("source")).alias("source"), "target_share", "max_repeat")
+    return rows.where("source IS NOT NULL AND target_share > 0 AND max_repeat > 0").distinct()
+
+
+def sized(docs: DataFrame, id_col: str, text_col: str, source_col: str, tokenizer_path: str = TOKENIZER, targets: DataFrame | None = None) -> DataFrame:
+    """(id, source, h1, tokens) of each distinct text; only of sources in ``targets``, if these are given."""
     rows = docs.select(F.col(id_col).cast("bigint").alias("id"), source_name(F.col(source_col)).alias("source"), F.xxhash64(text_col).alias("h1"), F.xxhash64(F.lit("2"), F.col(text_col), F.length(text_col)).alias("h2"), F.col(text_col).alias("text"))
-    rows = rows.where("id IS NOT NULL AND text IS NOT NULL AND text <> ''")
+    rows = rows.where("id IS NOT NULL AND text IS NOT NULL AND text <> '' AND source IS NOT NULL")
+    if targets is not None:
+        names = wanted(targets).select(F.col("source").alias("target")).distinct()
+        rows = rows.join(F.broadcast(names), F.col("source") == F.col("target"), "left_semi")
     counted = save(rows.mapInArrow(_count(tokenizer_path), "id bigint, source string, h1 bigint, h2 bigint, tokens bigint"), "sized")
     first = counted.groupBy("h1", "h2").agg(F.min(F.struct("id", "source", "tokens")).alias("first"))
-    return first.select("first.id", "first.source", "h1", "first.tokens").where("tokens > 0 AND source IS NOT NULL")
+    return first.select("first.id", "first.source", "h1", "first.tokens").where("tokens > 0")
 
 
 def plan(texts: DataFrame, targets: DataFrame, total: int | None = None) -> list[dict]:
     """One entry per target source: available texts and tokens, and expected copies of each text."""
-    want = [(r["source"], float(r["target_share"]), int(r["max_repeat"])) for r in targets.select(source_name(F.col("source")).alias("source"), "target_share", "max_repeat").where("source IS NOT NULL AND target_share > 0 AND max_repeat > 0").distinct().collect()]
+    want = [(r["source"], float(r["target_share"]), int(r["max_repeat"])) for r in wanted(targets).collect()]
     have = {r["source"]: (r["n"], r["t"]) for r in texts.where(F.col("source").isin([s for s, _, _ in want])).groupBy("source").agg(F.count("*").alias("n"), F.sum("tokens").alias("t")).collect()}
     present = sum(share for s, share, _ in want if s in have)
     reach = [have[s][1] * most / (share / present) for s, share, most in want if s in have]

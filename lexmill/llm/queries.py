@@ -135,8 +135,9 @@ def p7_found(spark: SparkSession, d: str) -> DataFrame:
 
 
 def _mixed(spark: SparkSession, d: str) -> tuple[DataFrame, list[dict]]:
-    texts = save(mixing.sized(table(spark, d, "documents"), "doc_id", "text", "source"), "texts")
-    entries = mixing.plan(texts, table(spark, d, "mix_targets"))
+    targets = table(spark, d, "mix_targets")
+    texts = save(mixing.sized(table(spark, d, "documents"), "doc_id", "text", "source", targets=targets), "texts")
+    entries = mixing.plan(texts, targets)
     return mixing.mix(texts, entries), entries
 
 

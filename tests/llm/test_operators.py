@@ -367,6 +367,15 @@ def test_no_text_is_used_under_two_ids(spark):
     assert {r.id for r in mixing.sized(df, "i", "t", "s").collect()} == {0, 99}
 
 
+def test_a_text_is_kept_for_its_targeted_source(spark, tmp_path):
+    rows = [(1, "same text", None), (2, "same text", " A"), (3, "more text", "other"), (4, "more text", "a"), (5, "own text", "other")]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string, source string")
+    assert {(r.id, r.source) for r in mixing.sized(df, "doc_id", "text", "source").collect()} == {(2, "a"), (3, "other"), (5, "other")}
+    df.write.parquet(str(tmp_path / "documents.parquet"))
+    spark.createDataFrame([("a", 1.0, 1)], "source string, target_share double, max_repeat bigint").write.parquet(str(tmp_path / "mix_targets.parquet"))
+    assert {r.doc_id for r in queries.p8_mix(spark, str(tmp_path)).collect()} == {2, 4}
+
+
 def test_tokenizer_splits_and_joins():
     e = mixing.tokenizer(mixing.TOKENIZER)
     assert e.decode(e.encode_ordinary("Żółw <|endoftext|> 中文")) == "Żółw <|endoftext|> 中文"
