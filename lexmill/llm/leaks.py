@@ -11,7 +11,8 @@ which substituted words lie at least ``GAP`` words apart.
 No mask is longer than the shortest run to be found, so an exact run of that length hits under every mask.
 
 Nulls: rows with a null id or text are left out.  A document or item delivered twice counts
-once per id.  Items with fewer words than the shortest mask can't be found.
+once per id.  Items with fewer words than the shortest mask are hashed as a whole, and found where
+a document holds all their words in order.
 """
 
 from __future__ import annotations
@@ -47,6 +48,11 @@ def _windows(w: vec.Words, mask: str, number: int) -> tuple[np.ndarray, np.ndarr
     return at, vec.mix(h[at])
 
 
+def _short_windows(w: vec.Words, masks: tuple[str, ...], length: int) -> tuple[np.ndarray, np.ndarray]:
+    """(position, hash) of the windows of an item that is shorter than the masks; all positions are used."""
+    return _windows(w, "1" * length, len(masks) + length)
+
+
 def _seeds(masks: tuple[str, ...]):
     """Task over (id, text): the items' words and the hashes of their windows."""
 
@@ -56,6 +62,10 @@ def _seeds(masks: tuple[str, ...]):
             for lo, hi in vec.blocks(texts):
                 w = vec.words(texts[lo:hi])
                 hits = [(w.doc[at], at - w.first[w.doc[at]], h) for m, mask in enumerate(masks) for at, h in [_windows(w, mask, m)]]
+                for length in range(1, min(map(len, masks))):
+                    at, h = _short_windows(w, masks, length)
+                    own = w.counts()[w.doc[at]] == length
+                    hits.append((w.doc[at[own]], np.zeros(own.sum(), np.int64), h[own]))
                 yield _rows(ids.slice(lo, hi - lo), w, np.arange(hi - lo), hits)
 
     return run
@@ -81,7 +91,7 @@ def _rows(ids: pa.Array, w: vec.Words, docs: np.ndarray, hits: list[tuple]) -> p
 _SCHEMA = "id bigint, words binary, pos array<bigint>, seed array<bigint>"
 
 
-def _scan(masks: tuple[str, ...], bitmap, exact):
+def _scan(masks: tuple[str, ...], short: list[int], bitmap, exact):
     """Task over (id, text): the texts with windows that may be test windows."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -91,8 +101,7 @@ def _scan(masks: tuple[str, ...], bitmap, exact):
             for lo, hi in vec.blocks(texts):
                 w = vec.words(texts[lo:hi])
                 hits = []
-                for m, mask in enumerate(masks):
-                    at, h = _windows(w, mask, m)
+                for at, h in [*(_windows(w, mask, m) for m, mask in enumerate(masks)), *(_short_windows(w, masks, length) for length in short)]:
                     may = np.flatnonzero(bits[(h >> U64(64 - BITMAP_BITS)).astype(np.int64)])
                     if known is not None:
                         may = may[np.isin(h[may], known)]
@@ -147,10 +156,11 @@ def leaks(docs: DataFrame, id_col: str, text_col: str, items: DataFrame, item_id
     bitmap = np.zeros(1 << BITMAP_BITS, bool)
     cells = seeds.select(F.shiftrightunsigned("seed", 64 - BITMAP_BITS).cast("int").alias("c")).distinct().toPandas()["c"].to_numpy(np.int64)
     bitmap[cells] = True
+    short = [r["n"] for r in tests.select((F.octet_length("words") / 8).cast("int").alias("n")).where(F.col("n").between(1, min(map(len, masks)) - 1)).distinct().collect()]
     exact = None
     if len(cells) < SAVED_SEEDS // 2 and (few := seeds.select("seed").distinct().limit(SAVED_SEEDS + 1).toPandas()["seed"].to_numpy(np.int64).view(U64)).size <= SAVED_SEEDS:
         exact = np.sort(few)
-    found = save(pick(docs, id_col, text_col).mapInArrow(_scan(masks, spark.sparkContext.broadcast(bitmap), spark.sparkContext.broadcast(exact)), _SCHEMA), "hits")
+    found = save(pick(docs, id_col, text_col).mapInArrow(_scan(masks, short, spark.sparkContext.broadcast(bitmap), spark.sparkContext.broadcast(exact)), _SCHEMA), "hits")
     hits = found.select("id", F.arrays_zip("pos", "seed").alias("z")).select("id", F.inline("z"))
     pairs = hits.join(seeds, "seed").select("id", "item", (F.col("pos") - F.col("item_pos")).alias("shift")).distinct()
     both = (

@@ -322,6 +322,14 @@ def test_leaks(spark):
     assert leaks.leaks(df, "i", "t", it.limit(0), "item", "x").count() == 0
 
 
+def test_short_items_are_found_whole(spark):
+    items = [(1, "alone"), (2, "one two three four five"), (3, "a b c d e f g h i j k"), (4, "a b c d e f g h i j k l")]
+    docs = [(10, "left ALONE, and one two three four five"), (11, "one two three four six"), (12, "x a b c d e f g h i j k y"), (13, "a b c d e f g h i j"), (14, "alone"), (15, "alone alone"), (16, "")]
+    df = spark.createDataFrame(docs, "i bigint, t string").repartition(3)
+    out = leaks.leaks(df, "i", "t", spark.createDataFrame(items, "item bigint, x string"), "item", "x").collect()
+    assert {(r.id, r["item"], r.exact_run) for r in out} == {(10, 1, 1), (10, 2, 5), (12, 3, 11), (14, 1, 1), (15, 1, 1)}
+
+
 def test_overlap_bridges_substitutions():
     x = np.arange(40, dtype=np.uint64)
     y = x.copy()
