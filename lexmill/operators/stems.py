@@ -11,6 +11,8 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from lexmill import config
+
 
 def suffix_stem(word: Column) -> Column:
     """Plural endings only: -ies to -y, -es to -e, -s away, but not after the letters that rule it out; short words stay."""
@@ -68,6 +70,13 @@ def stem_terms(terms: DataFrame, stem: Callable[[Column], Column] | Callable[[st
     return terms.join(each, term)
 
 
+def stem_by_language(terms: DataFrame) -> DataFrame:
+    """``terms``, saved, with ``stem``: Swedish terms by the Swedish stemmer, those of all other languages by the suffix stemmer."""
+    own = [lang for lang in ("sv",) if config.stemmer(lang) == "snowball"]
+    swedish = F.coalesce(F.col("lang").isin(own), F.lit(False))
+    return stem_terms(terms.where(~swedish)).unionByName(stem_terms(terms.where(swedish), swedish_stem))
+
+
 def page_reverse(tokens: DataFrame) -> DataFrame:
     """Per page and stem the shortest surface form in code points; of equals, the first in the page. ``tokens`` has ts, rev_id, pos, term, stem."""
     first = F.struct(F.length("term"), F.coalesce("ts", F.lit("0001-01-01").cast("timestamp")), "rev_id", "pos")

@@ -47,7 +47,7 @@ class Engine:
         toks = tokens(delivered, self.limits.revisions, langs, self.provider)
         back = None
         if self.stem:
-            toks = save(stems.stem_terms(toks), "tokens")
+            toks = save(stems.stem_by_language(save(toks, "unstemmed")), "tokens")
             back = save(stems.global_reverse(stems.page_reverse(toks)), "stems")
             toks = toks.drop("term").withColumnRenamed("stem", "term")
         page_terms = save(counts.page_terms(toks), "terms")

@@ -166,6 +166,16 @@ def test_config():
     assert (config.stemmer("sv"), config.stemmer("ar"), config.stemmer("en"), config.stemmer("ja")) == ("snowball", "isri", None, None)
 
 
+def test_swedish_has_its_own_stemmer(spark):
+    delivered = spark.createDataFrame(
+        [(lang, i, 1, [(i, f"{w} {w}", None)]) for i, (lang, w) in enumerate((("sv", "flickorna"), ("sv", "flickor"), ("en", "ponies")))],
+        "lang string, page_id bigint, topic_id bigint, revision array<struct<rev_id:bigint,text:string,ts:timestamp>>",
+    )
+    toks = pipeline.tokens(delivered, 10)
+    got = rows(stems.stem_by_language(toks).distinct(), "lang", "term", "stem")
+    assert {(a, b, c) for a, b, c in got} == {("sv", "flickorna", "flick"), ("sv", "flickor", "flick"), ("en", "ponies", "pony")}
+
+
 @pytest.mark.parametrize("stem", [False, True])
 def test_engine_round_trip(spark, tmp_path, stem):
     delivered = spark.read.parquet(f"{DATA}/reduced_page.parquet")
