@@ -3,10 +3,11 @@
 from __future__ import annotations
 
 import functools
-import glob
-import os
-import zipfile
+import logging
 from dataclasses import dataclass
+from importlib import resources
+
+log = logging.getLogger("lexmill")
 
 MAX_WORD_LENGTH = 33
 CHAR_BUDGET = 1_000_000
@@ -30,6 +31,10 @@ LANGUAGE_NAMES = {
 #: Languages with a lexicon, apart from "simple" and "cr", which use the English one.
 LEXICON_LANGS = ("en", "ar", "da", "nl", "fi", "fr", "de", "hu", "it", "no", "pt", "es", "sv", "zh", "cs", "hi", "ja", "ko", "fa", "pl", "th")
 LEXICON_ALIASES = {"simple": "en", "cr": "en"}
+#: Languages whose model has another code than they.
+MODEL_CODES = {"simple": "en", "no": "nb"}
+#: Parts of speech that lemmatised texts keep.
+KEPT_POS = ("ADJ", "ADV", "NOUN", "PROPN", "VERB")
 LEMMA_LANGS = ("en", "simple", "ca", "da", "de", "el", "es", "fr", "it", "lt", "mk", "nl", "pl", "pt", "ro", "ru", "no")
 SNOWBALL_LANGS = ("en", "da", "nl", "fr", "de", "es", "hu", "it", "simple", "no", "pt", "ro", "ru", "sv")
 
@@ -66,17 +71,17 @@ def lexicon_language(lang: str) -> str | None:
     return lang if lang in LEXICON_LANGS else None
 
 
+@functools.cache
+def _models() -> dict[str, tuple[str, bool]]:
+    """Language to (name of its model, whether that lemmatises)."""
+    blank = {x: ("it", False) for x in ("la", *ITALIAN_LIKE_LANGS) if x != "co"}
+    lemmas = {x: (f"{MODEL_CODES.get(x, x)}_core_{'web' if MODEL_CODES.get(x, x) == 'en' else 'news'}_sm", True) for x in LEMMA_LANGS}
+    return blank | lemmas | {"ja": ("ja_core_news_sm", False), "zh": ("zh_core_web_sm", False)}
+
+
 def nlp_model(lang: str) -> tuple[str, bool]:
-    """(name of the language model, whether it lemmatises)."""
-    if lang in ("en", "simple"):
-        return "en_core_web_sm", True
-    if lang == "no":
-        return "nb_core_news_sm", True
-    if lang in LEMMA_LANGS:
-        return f"{lang}_core_news_sm", True
-    if lang in ("ja", "zh"):
-        return {"ja": "ja_core_news_sm", "zh": "zh_core_web_sm"}[lang], False
-    return ("it" if lang == "la" or lang in ITALIAN_LIKE_LANGS and lang != "co" else "xx"), False
+    """(name of the language model, whether it lemmatises); the multilingual blank one where there is none."""
+    return _models().get(lang, ("xx", False))
 
 
 def stemmer(lang: str) -> str | None:
@@ -86,22 +91,31 @@ def stemmer(lang: str) -> str | None:
     return "snowball" if lang in SNOWBALL_LANGS else "isri" if lang == "ar" else None
 
 
+def _stopword_file(name: str):
+    return resources.files("lexmill").joinpath("stopwords", f"{name}.txt")
+
+
 @functools.cache
 def base_stopwords(name: str) -> tuple[str, ...]:
-    """The stopword list bundled with Spark under a language's English name; empty if there is none."""
-    import pyspark
+    """The stopword list under a language's English name; empty if there is none.
+
+    The lists are those of Apache Spark's StopWordsRemover, with Polish and Chinese ones of our own.
+    They come with the package, so that no installation of Spark is needed to read them.
+    """
+    path = _stopword_file(name)
+    return tuple(path.read_text("utf-8").split("\n")[:-1]) if path.is_file() else ()
+
 
-    jars = glob.glob(os.path.join(os.path.dirname(pyspark.__file__), "jars", "spark-mllib_*.jar"))
-    with zipfile.ZipFile(jars[0]) as jar:
-        try:
-            lines = jar.read(f"org/apache/spark/ml/feature/stopwords/{name}.txt").decode("utf-8").splitlines()
-        except KeyError:
-            return ()
-    return tuple(w for w in lines if w)
+def has_stopwords(lang: str) -> bool:
+    """Whether the language has a list of its own (or Italian, for its minorities)."""
+    name = LANGUAGE_NAMES.get("it" if lang in ITALIAN_LIKE_LANGS else lang)
+    return name is not None and _stopword_file(name).is_file()
 
 
 @functools.cache
 def stopwords(lang: str) -> frozenset[str]:
-    """Words of the language (or of Italian, for its minorities), English ones, and words that leak from markup."""
-    own = base_stopwords(LANGUAGE_NAMES["it" if lang in ITALIAN_LIKE_LANGS else lang]) if lang in ITALIAN_LIKE_LANGS or lang in LANGUAGE_NAMES else ()
-    return frozenset(own) | frozenset(base_stopwords("english")) | frozenset(LEAK_WORDS)
+    """Words of the language (or of Italian, for its minorities), English ones, and words that leak from markup. A language without a list uses the English one; that is logged."""
+    name = LANGUAGE_NAMES.get("it" if lang in ITALIAN_LIKE_LANGS else lang)
+    if lang and not has_stopwords(lang):
+        log.warning("no stopword list for language %r: English words only", lang)
+    return frozenset(base_stopwords(name) if name else ()) | frozenset(base_stopwords("english")) | frozenset(LEAK_WORDS)

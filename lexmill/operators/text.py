@@ -34,7 +34,7 @@ def spacy_provider(df: DataFrame) -> DataFrame:
     """Lemmas of adjectives, adverbs, nouns and verbs where the language's model lemmatises, else its lower-cased tokens. Needs spaCy and its models on the executors."""
     import pandas as pd
 
-    allowed = {"ADJ", "ADV", "NOUN", "PROPN", "VERB"}
+    allowed = frozenset(config.KEPT_POS)
 
     def run(batches):
         import spacy
@@ -69,11 +69,12 @@ def explode_tokens(df: DataFrame) -> DataFrame:
     return df.select(*others, F.posexplode_outer("tokens").alias("pos", "term")).where(C.alphabetic(F.col("term")))
 
 
-def drop_stopwords(tokens: DataFrame, stop: DataFrame, other: frozenset[str] = config.stopwords("")) -> DataFrame:
+def drop_stopwords(tokens: DataFrame, stop: DataFrame, other: frozenset[str] | None = None) -> DataFrame:
     """Tokens that, in lower case, are no stopword of their language; languages that ``stop`` lacks use the English list.
 
     ``stop`` is of fixed size (a few hundred words for each language) and broadcast.
     """
+    other = config.stopwords("") if other is None else other
     s = F.broadcast(stop.select(F.col("lang").alias("_l"), F.col("word").alias("_w")))
     kept = tokens.join(s, (F.col("lang") == F.col("_l")) & (F.lower("term") == F.col("_w")), "left_anti")
     known = [r[0] for r in stop.select("lang").distinct().collect()]

@@ -41,7 +41,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return dict(_SQL)
+    lists = ", ".join(f"('{x}', [{_quoted(config.stopwords(x))}])" for x in pipeline.LANGS)
+    return {name: sql.replace("@STOPWORDS@", lists).replace("@ENGLISH@", _quoted(config.stopwords(""))) for name, sql in _SQL.items()}
 
 
 def _delivered(spark: SparkSession, d: str) -> DataFrame:
@@ -76,8 +77,9 @@ def _quoted(words) -> str:
     return ", ".join("'" + w.replace("'", "''") + "'" for w in sorted(words))
 
 
-_STOP = "stop AS (SELECT lang, unnest(words) AS word FROM (VALUES " + ", ".join(f"('{x}', [{_quoted(config.stopwords(x))}])" for x in pipeline.LANGS) + ") v(lang, words))"
-_FREE = f"free AS (SELECT * FROM alpha a WHERE NOT EXISTS (SELECT 1 FROM stop s WHERE s.lang = a.lang AND s.word = lower(a.term)) AND (lang IN ({_quoted(pipeline.LANGS)}) OR lower(term) NOT IN ({_quoted(config.stopwords(''))})))"
+#: The stopword lists are put in where the SQL is asked for, so that importing reads no file.
+_STOP = "stop AS (SELECT lang, unnest(words) AS word FROM (VALUES @STOPWORDS@) v(lang, words))"
+_FREE = f"free AS (SELECT * FROM alpha a WHERE NOT EXISTS (SELECT 1 FROM stop s WHERE s.lang = a.lang AND s.word = lower(a.term)) AND (lang IN ({_quoted(pipeline.LANGS)}) OR lower(term) NOT IN (@ENGLISH@)))"
 _MIN = f"CASE WHEN lang IN ({_quoted(config.ONE_LETTER_LANGS)}) THEN 1 ELSE 3 END"
 _KEPT = f"kept AS (SELECT * FROM free WHERE length(term) BETWEEN {_MIN} AND {config.MAX_WORD_LENGTH})"
 _TERMS = "terms AS (SELECT lang, page_id, topic_id, term, count(*) AS abs FROM kept GROUP BY ALL)"

@@ -1,6 +1,9 @@
 """Core operators: worked examples, edge cases, and every query against its SQL."""
 
 import json
+import subprocess
+import sys
+from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
@@ -36,6 +39,23 @@ def test_every_query_has_sql():
     assert set(catalogue.queries()) == set(catalogue.oracle_sql())
 
 
+def test_import_needs_no_files_of_an_installation():
+    """The queries and their SQL come without reading anything beside this package, as when Spark's jars lie elsewhere."""
+    script = """
+import builtins, io, os, sys
+import pyspark, pyspark.sql
+for name in ("duckdb", "numpy", "pandas", "pyarrow", "pyarrow.compute", "tiktoken"):
+    __import__(name)
+seen = []
+sys.addaudithook(lambda event, args: seen.append(str(args[0])) if event in ("open", "os.listdir", "os.scandir", "glob.glob") else None)
+import __spark_entry__ as e
+assert not [p for p in seen if "jars" in p or p.endswith(".txt")], seen
+assert len(e.queries()) > 40 and len(e.oracle_sql()) > 40 and "@STOPWORDS@" not in str(e.oracle_sql())
+assert not [p for p in seen if "jars" in p], seen
+"""
+    subprocess.run([sys.executable, "-c", script], check=True, cwd=Path(__spark_entry__.__file__).parent)
+
+
 def test_entry(spark):
     assert __spark_entry__.entry(spark).count() > 0
 
@@ -113,6 +133,8 @@ def test_stopwords_and_lengths(spark):
     toks = spark.createDataFrame([("en", "the"), ("en", "isbn"), ("en", "village"), ("en", "go"), ("de", "der"), ("de", "the"), ("xx", "the"), ("xx", "der"), ("zh", "字"), ("en", "x" * 34), (None, "abc")], "lang string, term string")
     stop = text.stopword_table(spark, ["en", "de", "zh"])
     assert rows(text.drop_bad_lengths(text.drop_stopwords(toks.where("lang IS NOT NULL"), stop)), "lang", "term") == [("en", "village"), ("xx", "der"), ("zh", "字")]
+    assert config.has_stopwords("pl") and config.has_stopwords("zh") and not config.has_stopwords("ro") and not config.has_stopwords("")
+    assert "jest" in config.stopwords("pl") and "这个" in config.stopwords("zh") and config.stopwords("ro") == config.stopwords("")
     assert "il" in config.stopwords("vec") and "il" not in config.stopwords("xx") and "isbn" in config.stopwords("xx")
 
 
