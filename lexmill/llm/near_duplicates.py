@@ -9,12 +9,15 @@ least ``threshold`` of those found in either.
    one global order are keys.  Two classes over the threshold share a key (the prefix filter of
    set-similarity joins), so none is lost.  The order puts runs that are frequent in the
    corpus last; it comes from a sketch of fixed size, and any order is right, the sketch only
-   makes the buckets small.
-3. *Tiles.*  Within a bucket, classes are compared in tiles: a class has ``BITS`` parity bits
+   makes the groups of a key small.  Comparing all tiles with all would grow with the square.
+3. *Tiles.*  The classes of a key, in order of size, are cut into tiles.  A class has ``BITS`` parity bits
    (each run flips one), and the exclusive-or of two sketches has at most as many bits as the
    sets' symmetric difference, which the threshold bounds by a radius.  Tile pairs whose
-   population counts differ by more than the radius are skipped.  A key that the sketch calls
-   hot is cut into tile pairs that are separate groups, spread over all tasks.
+   population counts, of sketches or of whole sets, differ by more than the radius are skipped; of the others
+   all bits are compared.  Every group goes this way, whatever its size.
+   A bucket of keys is held by one task.  Members of a key that the sketch calls hot are spread over buckets and written as
+   larger tiles, as is any group that is too large and any bucket over ``BUCKET_BYTES``; the pairs of these
+   tiles, less those skipped by their population counts, are rows of a join and compared by all tasks.
 4. *Verification.*  Surviving pairs are verified on the full sets of 48-bit run hashes.
 
 Texts with fewer than ``k`` words have no runs: those with the same words in the same order (without
@@ -26,9 +29,9 @@ words.  A row delivered twice counts once.  Class ids are 64-bit hashes.
 
 from __future__ import annotations
 
-import math
 import hashlib
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
@@ -42,9 +45,15 @@ U64 = np.uint64
 CELLS = 1 << 20  # of each of the two rows of the frequency sketch
 LOCAL_HEAVY = 8  # a task reports cells with at least this count, and 4 times the mean
 BITS = 256
-HOT = 4096  # runs that may be in more texts than this are cut into tiles of about half as many
-TILE = 256
+WORDS = BITS // 64
+HOT = 4096  # keys of more classes than this are cut into large tiles that all tasks compare
+TILE = 16
+LARGE_TILE = 1024
+CELLS_AT_ONCE = 1 << 17  # pairs of classes compared in one step
 FLUSH = 20_000
+INPUT_A_BUCKET = 22  # bits: a bucket for every 4 MB of input
+BUCKET_BYTES = 96 << 20  # held by a task at most
+MOST_PARTS = 20_000  # tasks; with more buckets than this, a task takes several, one after the other
 MASK48 = U64((1 << 48) - 1)
 
 
@@ -52,11 +61,6 @@ def _ceil(threshold: float, n: np.ndarray) -> np.ndarray:
     return np.ceil(threshold * n - 1e-9).astype(np.int64)
 
 
-def _radius(threshold: float, total: np.ndarray) -> np.ndarray:
-    """The largest symmetric difference of two sets over the threshold, with ``total`` elements together."""
-    return np.floor((1 - threshold) / (1 + threshold) * total + 1e-9).astype(np.int64)
-
-
 def _sets(texts: list[str], k: int, min_words: int) -> Iterator[tuple[int, np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
     """By block: offset, text of each run, run, and per text the number of runs and the class id; no runs below k words, class 0 below min_words."""
     for lo, hi in vec.blocks(texts):
@@ -103,8 +107,9 @@ def _survey(k: int, min_words: int):
                 counts += np.bincount(np.concatenate((a, c + CELLS)), minlength=2 * CELLS)
                 at = np.flatnonzero(cid)
                 yield _table(np.zeros(len(at), np.int8), cid[at], ids[lo + at])
-        heavy = np.flatnonzero(counts >= max(LOCAL_HEAVY, 4 * counts.mean()))
-        yield _table(np.ones(len(heavy), np.int8), heavy, counts[heavy])
+        usual = counts.mean()  # what other runs have in a cell, by chance
+        heavy = np.flatnonzero(counts >= max(LOCAL_HEAVY, 4 * usual))
+        yield _table(np.ones(len(heavy), np.int8), heavy, counts[heavy] - int(usual))
 
     return run
 
@@ -128,30 +133,59 @@ def _sketches(doc: np.ndarray, run: np.ndarray, n_docs: int) -> np.ndarray:
     return np.packbits(odd.reshape(n_docs, BITS), axis=1, bitorder="little").view(U64)
 
 
-def _emit(k: int, min_words: int, threshold: float, levels, n_buckets: int):
-    """Task: packed keys for each bucket; one blob per bucket and FLUSH texts."""
-
-    def flush(parts: list[tuple]) -> Iterator[pa.RecordBatch]:
-        cid, n, sk = (np.concatenate([p[j] for p in parts]) for j in (0, 1, 2))
-        base = np.cumsum([0, *(len(p[0]) for p in parts)])
-        at = np.concatenate([p[3] + o for p, o in zip(parts, base)])
-        key = np.concatenate([p[4] for p in parts])
-        bucket = (vec.mix(key) % U64(n_buckets)).astype(np.int64)
+def _blob(cid: np.ndarray, n: np.ndarray, sk: np.ndarray, own: np.ndarray, key: np.ndarray) -> bytes:
+    """Classes with their sketches once, and the keys with the numbers of their classes."""
+    return b"".join((
+        np.array([len(cid), len(key)], np.int64).tobytes(), cid.tobytes(), n.astype(np.int32).tobytes(), sk.tobytes(),
+        own.astype(np.uint16).tobytes(), key.astype(np.uint32).tobytes(), (key >> U64(32)).astype(np.uint16).tobytes(),
+    ))
+
+
+def _read_blobs(blobs: list[bytes]) -> tuple[np.ndarray, ...]:
+    """(class, size, sketch) of all classes, each once, and (number of its class, key) of all keys."""
+    cid, n, sk, own, key, base = [], [], [], [], [], 0
+    for blob in blobs:
+        nd, nk = np.frombuffer(blob, np.int64, 2).tolist()
+        at = 16
+        for dtype, count, into in ((np.int64, nd, cid), (np.int32, nd, n), (U64, nd * WORDS, sk), (np.uint16, nk, own), (np.uint32, nk, key), (np.uint16, nk, key)):
+            into.append(np.frombuffer(blob, dtype, count, at))
+            at += into[-1].nbytes
+        own[-1] = own[-1].astype(np.int64) + base
+        high = key.pop().astype(U64)
+        key[-1] = key[-1].astype(U64) | (high << U64(32))
+        base += nd
+    ids, first, back = np.unique(np.concatenate(cid), return_index=True, return_inverse=True)
+    return ids, np.concatenate(n).astype(np.int64)[first], np.concatenate(sk).reshape(-1, WORDS)[first], back[np.concatenate(own)], np.concatenate(key)
+
+
+def _emit(k: int, min_words: int, threshold: float, levels, buckets: int, parts: int):
+    """Task: packed keys for each bucket; one blob per bucket and FLUSH texts, hot keys in blobs of their own."""
+
+    def flush(held: list[tuple]) -> Iterator[pa.RecordBatch]:
+        cid, n, sk = (np.concatenate([p[j] for p in held]) for j in (0, 1, 2))
+        base = np.cumsum([0, *(len(p[0]) for p in held)])
+        at = np.concatenate([p[3] + o for p, o in zip(held, base)])
+        key = np.concatenate([p[4] for p in held])
+        rank = np.concatenate([p[5] for p in held]).astype(np.int64)
+        hot = rank > HOT.bit_length()
+        spread = np.where(hot, 1 << np.maximum(rank - HOT.bit_length() + 1, 0), 1).astype(U64)  # so that about HOT of its classes are in one bucket
+        salt = vec.mix(cid.view(U64))[at] % spread
+        bucket = (vec.mix(key + salt * U64(0x9E3779B97F4A7C15)) % U64(buckets)).astype(np.int64) * 2 + hot
         order = np.argsort(bucket, kind="stable")
-        cut = np.searchsorted(bucket[order], np.arange(n_buckets + 1))
-        for b in np.flatnonzero(np.diff(cut)):
-            sel = order[cut[b] : cut[b + 1]]
+        start = np.flatnonzero(np.diff(bucket[order], prepend=-1))
+        rows = []
+        for lo, hi in zip(start, [*start[1:], len(order)]):
+            sel = order[lo:hi]
             docs, local = np.unique(at[sel], return_inverse=True)
-            keys = key[sel]
-            blob = b"".join((
-                np.array([len(docs), len(keys)], np.int64).tobytes(), cid[docs].tobytes(), n[docs].astype(np.int32).tobytes(), sk[docs].tobytes(),
-                local.astype(np.uint16).tobytes(), keys.astype(np.uint32).tobytes(), (keys >> U64(32)).astype(np.uint16).tobytes(),
-            ))
-            yield pa.record_batch([pa.array([int(b)], pa.int32()), pa.array([blob], pa.binary())], names=["bucket", "blob"])
+            rows.append((int(bucket[sel[0]]), _blob(cid[docs], n[docs], sk[docs], local, key[sel])))
+        for lo in range(0, len(rows), 5000):
+            b = np.array([r[0] for r in rows[lo : lo + 5000]])
+            columns = [pa.array((b // 2 % parts).astype(np.int32)), pa.array(b // 2), pa.array(b % 2 == 1), pa.array([r[1] for r in rows[lo : lo + 5000]], pa.binary())]
+            yield pa.record_batch(columns, names=["part", "bucket", "hot", "blob"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         level = levels.value
-        parts, held, seen = [], 0, set()
+        held, count, seen = [], 0, set()
         for b in batches:
             texts = b.column(0).to_pylist()
             for _, doc, runs, n, cid in _sets(texts, k, min_words):
@@ -170,127 +204,214 @@ def _emit(k: int, min_words: int, threshold: float, levels, n_buckets: int):
                 place = np.arange(len(order)) - first[doc]
                 use = (place < (n - _ceil(threshold, n) + 1)[doc]) & fresh[doc]
                 at = np.cumsum(fresh) - 1
-                key, rank, own = order[use] & MASK48, (order[use] >> U64(48)) & U64(63), at[doc[use]]
-                ids = cid[fresh]
-                key, own = _spread(key, own, ids, rank)
-                parts.append((ids, n[fresh], _sketches(doc, order & MASK48, len(n))[fresh], own, key))
-                held += len(ids)
-                if held >= FLUSH:
-                    yield from flush(parts)
-                    parts, held = [], 0
-        if held:
-            yield from flush(parts)
+                held.append((cid[fresh], n[fresh], _sketches(doc, order & MASK48, len(n))[fresh], at[doc[use]], order[use] & MASK48, (order[use] >> U64(48)) & U64(63)))
+                count += int(fresh.sum())
+                if count >= FLUSH:
+                    yield from flush(held)
+                    held, count = [], 0
+        if count:
+            yield from flush(held)
 
     return run
 
 
-def _spread(key: np.ndarray, own: np.ndarray, ids: np.ndarray, rank: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """A hot key becomes one key per pair of tiles; a text goes to all pairs that its tile is in."""
-    hot = np.flatnonzero(rank > HOT.bit_length())
-    if not len(hot):
-        return key, own
-    keys, owns = [np.delete(key, hot)], [np.delete(own, hot)]
-    for r in np.unique(rank[hot]):
-        sel = hot[rank[hot] == r]
-        g = 1 << (int(r) - HOT.bit_length() + 1)
-        mine = (vec.mix(ids[own[sel]].view(U64)) % U64(g)).astype(np.int64)
-        for other in range(g):
-            lo, hi = np.minimum(mine, other), np.maximum(mine, other)
-            keys.append(vec.mix(key[sel] ^ ((lo * g + hi + 1).astype(U64) * U64(0x9E3779B97F4A7C15))) & MASK48)
-            owns.append(own[sel])
-    return np.concatenate(keys), np.concatenate(owns)
-
-
-def _close(a: np.ndarray, b: np.ndarray, n: np.ndarray, sk: np.ndarray, threshold: float) -> np.ndarray:
-    """Which pairs may be over the threshold, by sizes and by bits that differ."""
-    na, nb = n[a], n[b]
-    ok = np.flatnonzero(np.minimum(na, nb) >= _ceil(threshold, np.maximum(na, nb)))
-    a, b = a[ok], b[ok]
-    differ = np.bitwise_count(sk[a] ^ sk[b]).sum(axis=1, dtype=np.int64)
-    return ok[differ <= _radius(threshold, n[a] + n[b])]
-
-
-def compare_tiles(members: np.ndarray, n: np.ndarray, sk: np.ndarray, threshold: float, tile: int = TILE) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """All pairs within the radius among ``members``, tile by tile, in order of population counts."""
-    pop = np.bitwise_count(sk[members]).sum(axis=1, dtype=np.int64)
-    members = members[np.argsort(pop, kind="stable")]
-    pop = np.sort(pop)
-    starts = range(0, len(members), tile)
-    top = [int(n[members[s : s + tile]].max()) for s in starts]
-    for x, i in enumerate(starts):
-        rows = members[i : i + tile]
-        for y, j in enumerate(starts):
-            if j < i:
-                continue
-            gap = pop[j] - pop[min(i + tile, len(pop)) - 1]
-            if gap > _radius(threshold, np.array([top[x] + top[y]]))[0]:
-                continue
-            cols = members[j : j + tile]
-            na, nb = n[rows][:, None], n[cols][None, :]
-            differ = np.zeros((len(rows), len(cols)), np.int64)
-            for word in range(sk.shape[1]):
-                differ += np.bitwise_count(sk[rows, word][:, None] ^ sk[cols, word][None, :])
-            ok = (differ <= _radius(threshold, na + nb)) & (np.minimum(na, nb) >= _ceil(threshold, np.maximum(na, nb)))
-            if i == j:
-                ok = np.triu(ok, 1)
-            p, q = np.nonzero(ok)
-            if len(p):
-                yield rows[p], cols[q]
-
-
-def _bucket_pairs(key: np.ndarray, own: np.ndarray, n: np.ndarray, sk: np.ndarray, threshold: float) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    order = np.lexsort((own, key))
-    key, own = key[order], own[order]
-    fresh = np.concatenate(([True], (key[1:] != key[:-1]) | (own[1:] != own[:-1])))
-    key, own = key[fresh], own[fresh]
-    start = np.flatnonzero(np.concatenate(([True], key[1:] != key[:-1])))
-    size = np.diff(np.append(start, len(key)))
-    for s, m in zip(start[size > 64], size[size > 64]):
-        yield from compare_tiles(own[s : s + m], n, sk, threshold)
-    for lag in range(1, 64):  # small groups together: every member against the one lag places on
-        of = (size > lag) & (size <= 64)
+def _allowed(threshold: float) -> float:
+    """The radius, for each element of two sets together: of two sets over the threshold, the largest symmetric difference."""
+    return (1 - threshold) / (1 + threshold)
+
+
+@dataclass
+class Skipped:
+    """Pairs of different tiles seen, and those of them skipped by their population counts."""
+
+    pairs: int = 0
+    skipped: int = 0
+
+
+def _far(n_a: tuple, n_b: tuple, pop_a: tuple, pop_b: tuple, threshold: float) -> np.ndarray:
+    """Which pairs of tiles are apart by more than the radius, by the (least, largest) population counts of their whole sets and of their sketches."""
+    radius = _allowed(threshold) * (n_a[1] + n_b[1]) + 1e-9
+    gap = [np.maximum(x[0] - y[1], y[0] - x[1]) for x, y in ((n_a, n_b), (pop_a, pop_b))]
+    return np.maximum(*gap) > radius
+
+
+def compare_tiles(group: np.ndarray, members: np.ndarray, n: np.ndarray, sk: np.ndarray, threshold: float, stats: Skipped | None = None) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """All pairs within the radius among ``members`` of the same ``group``.
+
+    Groups are put in order of their members' sizes and cut into tiles of ``TILE`` (smaller groups are one smaller tile);
+    tile pairs that survive the population counts are compared in batches.
+    """
+    pop = np.bitwise_count(sk).sum(axis=1, dtype=np.int64)
+    order = np.lexsort((pop[members], n[members], group))
+    group, members = group[order], members[order]
+    start = np.flatnonzero(np.diff(group, prepend=group[:1] ^ U64(1)))
+    size = np.diff(np.append(start, len(group)))
+    low = 1
+    while low < TILE:
+        of = (size > low) & ((size <= 2 * low) | (2 * low >= TILE))
+        low *= 2
         if not of.any():
-            break
-        count = size[of] - lag
-        at = np.repeat(start[of] - np.concatenate(([0], np.cumsum(count)[:-1])), count) + np.arange(count.sum())
-        a, b = own[at], own[at + lag]
-        ok = _close(a, b, n, sk, threshold)
-        yield a[ok], b[ok]
+            continue
+        tiles = -(-size[of] // low)  # of each group
+        first = np.concatenate(([0], np.cumsum(tiles)[:-1]))
+        place = np.arange(tiles.sum()) - np.repeat(first, tiles)
+        at = np.repeat(start[of], tiles)[:, None] + place[:, None] * low + np.arange(low)
+        inside = at < np.repeat(start[of] + size[of], tiles)[:, None]
+        at = members[np.where(inside, at, 0)]
+        lowest = lambda x: np.where(inside, x[at], 1 << 60).min(axis=1)  # noqa: B023, E731
+        highest = lambda x: np.where(inside, x[at], -1).max(axis=1)  # noqa: B023, E731
+        reach = [(lowest(x), highest(x)) for x in (n, pop)]
+        left, right = [np.arange(len(at))], [np.arange(len(at))]  # every tile with itself, and the pairs within its group
+        for f, t in zip(first[tiles > 1], tiles[tiles > 1]):
+            i, j = np.triu_indices(t, 1)
+            far = _far(*(tuple(x[f + y] for x in r) for r in reach for y in (i, j)), threshold)
+            if stats:
+                stats.pairs += len(far)
+                stats.skipped += int(far.sum())
+            left.append(f + i[~far])
+            right.append(f + j[~far])
+        left, right = np.concatenate(left), np.concatenate(right)
+        yield from _compared(at, inside, left, right, n, sk, threshold)
+
+
+def _compared(at: np.ndarray, inside: np.ndarray, left: np.ndarray, right: np.ndarray, n: np.ndarray, sk: np.ndarray, threshold: float) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """The near members of the tile pairs (left, right); ``at`` holds each tile's members, ``inside`` which of its places are taken."""
+    width = at.shape[1]
+    step = max(1, CELLS_AT_ONCE // (width * width))
+    for lo in range(0, len(left), step):
+        i, j = left[lo : lo + step], right[lo : lo + step]
+        rows, cols = at[i], at[j]
+        near = _near(rows, cols, n, sk, threshold) & inside[i][:, :, None] & inside[j][:, None, :]
+        near &= (i != j)[:, None, None] | np.triu(np.ones((width, width), bool), 1)
+        t, p, q = np.nonzero(near)
+        if len(t):
+            yield rows[t, p], cols[t, q]
+
+
+def _cut(members: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """One group's members in order of size as tiles, and which places are taken."""
+    members = members[np.argsort(n[members], kind="stable")]
+    at = np.resize(np.arange(len(members)), -(-len(members) // TILE) * TILE).reshape(-1, TILE)
+    return members[at], np.arange(at.size).reshape(at.shape) < len(members)
+
+
+def compare_sides(a: np.ndarray, b: np.ndarray, n: np.ndarray, sk: np.ndarray, threshold: float, stats: Skipped | None = None) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """All pairs within the radius of one member of ``a`` and one of ``b``."""
+    (at_a, in_a), (at_b, in_b) = _cut(a, n), _cut(b, n)
+    i, j = (x.ravel() for x in np.meshgrid(np.arange(len(at_a)), np.arange(len(at_a), len(at_a) + len(at_b)), indexing="ij"))
+    at, inside = np.concatenate((at_a, at_b)), np.concatenate((in_a, in_b))
+    pop = np.bitwise_count(sk).sum(axis=1, dtype=np.int64)
+    far = _far(*((x[at].min(axis=1)[y], x[at].max(axis=1)[y]) for x in (n, pop) for y in (i, j)), threshold)
+    if stats:
+        stats.pairs += len(far)
+        stats.skipped += int(far.sum())
+    yield from _compared(at, inside, i[~far], j[~far], n, sk, threshold)
+
+
+def _near(rows: np.ndarray, cols: np.ndarray, n: np.ndarray, sk: np.ndarray, threshold: float) -> np.ndarray:
+    """[tile pair, row, column]: whether exclusive-or and sizes are within the radius."""
+    na, nb = n[rows][:, :, None], n[cols][:, None, :]
+    differ = np.zeros((*rows.shape, cols.shape[1]), np.int16)
+    for word in range(WORDS):
+        differ += np.bitwise_count(sk[rows, word][:, :, None] ^ sk[cols, word][:, None, :])
+    return np.maximum(differ, np.abs(na - nb)) <= _allowed(threshold) * (na + nb) + 1e-9
 
 
 def _candidates(threshold: float):
+    """Task over (part, bucket, hot, blob), buckets in order: pairs of classes (a, b), and the large tiles (key, tile, least and largest counts, blob) of hot keys."""
+
+    def bucket(number: int, piece: int, cold: list[bytes], hot: list[bytes], whole: bool) -> Iterator[pa.RecordBatch]:
+        tiles = []
+        for blobs, split in ((cold, not whole), (hot, True)):
+            if not blobs:
+                continue
+            ids, n, sk, own, key = _read_blobs(blobs)
+            pop = np.bitwise_count(sk).sum(axis=1, dtype=np.int64)
+            order = np.lexsort((own, n[own], key))
+            key, own = key[order], own[order]
+            fresh = np.concatenate(([True], (key[1:] != key[:-1]) | (own[1:] != own[:-1])))
+            key, own = key[fresh], own[fresh]
+            start = np.flatnonzero(np.concatenate(([True], key[1:] != key[:-1])))
+            size = np.diff(np.append(start, len(key)))
+            large = (size > HOT) | split
+            for s, m in zip(start[large], size[large]):
+                for lo in range(s, s + m, LARGE_TILE):
+                    x = own[lo : min(lo + LARGE_TILE, s + m)]
+                    blob = _blob(ids[x], n[x], sk[x], np.zeros(0, np.int64), np.zeros(0, U64))
+                    tiles.append((int(key[s]), len(tiles), int(n[x[0]]), int(n[x[-1]]), int(pop[x].min()), int(pop[x].max()), blob))
+            small = np.repeat(~large & (size > 1), size)
+            found, held = [np.zeros((0, 2), np.int64)], 0
+            for a, b in compare_tiles(key[small], own[small], n, sk, threshold):
+                found.append(np.sort(np.column_stack((ids[a], ids[b])), axis=1))
+                held += len(a)
+                if held > 1_000_000:
+                    yield _found(np.unique(np.concatenate(found), axis=0), [])
+                    found, held = [np.zeros((0, 2), np.int64)], 0
+            yield _found(np.unique(np.concatenate(found), axis=0), [])
+        for lo in range(0, len(tiles), 500):
+            yield _found(np.zeros((0, 2), np.int64), [(t[0], (number << 34) + (piece << 24) + t[1], *t[2:]) for t in tiles[lo : lo + 500]])
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        cid, n, sk, own, key, base = [], [], [], [], [], 0
-        words = BITS // 64
-        for blob in (x.as_py() for b in batches for x in b.column(1)):
-            nd, nk = np.frombuffer(blob, np.int64, 2)
-            at = 16
-            for dtype, count, into in ((np.int64, nd, cid), (np.int32, nd, n), (U64, nd * words, sk), (np.uint16, nk, own), (np.uint32, nk, key), (np.uint16, nk, key)):
-                into.append(np.frombuffer(blob, dtype, count, at))
-                at += into[-1].nbytes
-            own[-1] = own[-1].astype(np.int64) + base
-            high = key.pop().astype(U64)
-            key[-1] = key[-1].astype(U64) | (high << U64(32))
-            base += nd
-        if not cid:
-            return
-        ids, first, back = np.unique(np.concatenate(cid), return_index=True, return_inverse=True)
-        n = np.concatenate(n).astype(np.int64)[first]
-        sk = np.concatenate(sk).reshape(-1, words)[first]
-        found = [np.zeros((0, 2), np.int64)]
-        held = 0
-        for a, b in _bucket_pairs(np.concatenate(key), back[np.concatenate(own)], n, sk, threshold):
-            found.append(np.sort(np.column_stack((ids[a], ids[b])), axis=1))
-            held += len(a)
-            if held > 2_000_000:
-                found, held = [np.unique(np.concatenate(found), axis=0)], 0
-                if len(found[0]) > 1_000_000:
-                    yield _pairs(found.pop())
-        yield _pairs(np.unique(np.concatenate(found), axis=0)) if found else _pairs(np.zeros((0, 2), np.int64))
+        now, piece, held, size = None, 0, ([], []), 0
+        for b in batches:
+            for number, hot, blob in zip(b.column(1).to_pylist(), b.column(2).to_pylist(), b.column(3).to_pylist()):
+                if now is not None and (number != now or size > BUCKET_BYTES):
+                    yield from bucket(now, piece, *held, whole=number != now and not piece)
+                    piece = piece + 1 if number == now else 0
+                    held, size = ([], []), 0
+                now = number
+                held[hot].append(blob)
+                size += len(blob)
+        if now is not None:
+            yield from bucket(now, piece, *held, whole=not piece)
 
     return run
 
 
+_FOUND = "a bigint, b bigint, key bigint, tile bigint, n_lo int, n_hi int, pop_lo int, pop_hi int, blob binary"
+
+
+def _found(pairs: np.ndarray, tiles: list[tuple]) -> pa.RecordBatch:
+    kinds = (pa.int64(), pa.int64(), pa.int64(), pa.int64(), *[pa.int32()] * 4, pa.binary())
+    names = [x.split()[0] for x in _FOUND.split(", ")]
+    if tiles:
+        columns = [pa.nulls(len(tiles), pa.int64())] * 2 + [pa.array(c, t) for c, t in zip(zip(*tiles), kinds[2:])]
+    else:
+        columns = [pa.array(pairs[:, 0]), pa.array(pairs[:, 1])] + [pa.nulls(len(pairs), t) for t in kinds[2:]]
+    return pa.record_batch(columns, names=names)
+
+
+def _across(threshold: float):
+    """Task over (same tile, blob, blob): pairs of classes within the radius in two large tiles."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            for same, x, y in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), b.column(2).to_pylist()):
+                x, y = _read_blobs([x]), _read_blobs([y])
+                n, sk = np.concatenate((x[1], y[1])), np.concatenate((x[2], y[2]))
+                ids, m, found = np.concatenate((x[0], y[0])), len(x[0]), [np.zeros((0, 2), np.int64)]
+                near = compare_tiles(np.zeros(m, U64), np.arange(m), n, sk, threshold) if same else compare_sides(np.arange(m), np.arange(m, len(ids)), n, sk, threshold)
+                for p, q in near:
+                    p, q = ids[p], ids[q]
+                    found.append(np.sort(np.column_stack((p, q))[p != q], axis=1))
+                yield _pairs(np.concatenate(found))
+
+    return run
+
+
+def _large_tiles(found: DataFrame, threshold: float) -> DataFrame:
+    """Pairs of classes in large tiles of the same key: the tiles' counts are joined first, then what tile pairs remain is."""
+    tiles = found.where("tile IS NOT NULL")
+    side = lambda x: [F.col(c).alias(f"{c}_{x}") for c in ("tile", "n_lo", "n_hi", "pop_lo", "pop_hi")]
+    both = tiles.select("key", *side("x")).join(tiles.select("key", *side("y")), "key").where("tile_x <= tile_y")
+    radius = F.lit(_allowed(threshold)) * (F.col("n_hi_x") + F.col("n_hi_y")) + 1e-9
+    for c in ("n", "pop"):
+        both = both.where((F.col(f"{c}_lo_y") - F.col(f"{c}_hi_x") <= radius) & (F.col(f"{c}_lo_x") - F.col(f"{c}_hi_y") <= radius))
+    for x in "xy":
+        both = both.join(tiles.select("key", F.col("tile").alias(f"tile_{x}"), F.col("blob").alias(f"blob_{x}")), ["key", f"tile_{x}"])
+    return both.select(F.expr("tile_x = tile_y"), "blob_x", "blob_y").mapInArrow(_across(threshold), "a bigint, b bigint").distinct()
+
+
 def _pairs(x: np.ndarray) -> pa.RecordBatch:
     return pa.record_batch([pa.array(x[:, 0]), pa.array(x[:, 1])], names=["a", "b"])
 
@@ -365,23 +486,28 @@ def _verify(threshold: float):
 def class_pairs(df: DataFrame, id_col: str, text_col: str, threshold: float = 0.8, k: int = 5, min_words: int = 0, buckets: int | None = None) -> tuple[DataFrame, DataFrame]:
     """(members: cid, id) and (pairs of classes: a, b, similarity) of all near duplicates.
 
-    ``buckets``: parts of the key space, each held by one task; by default the session's
-    shuffle partitions, or one for every 8 MB of input if that is more.
+    ``buckets``: parts of the key space, each held by one task at a time; by default the session's
+    shuffle partitions, or one for every 4 MB of input if that is more.
     """
     spark = df.sparkSession
     rows = df.select(F.col(id_col).cast("bigint").alias("id"), F.col(text_col).alias("text")).where("id IS NOT NULL AND text IS NOT NULL")
     if buckets is None:
         size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
         known = size if size < 1 << 60 else 0  # a plan that isn't over files has no estimate
-        buckets = max(int(spark.conf.get("spark.sql.shuffle.partitions")), min(known >> 23, 100_000))
+        buckets = max(int(spark.conf.get("spark.sql.shuffle.partitions")), known >> INPUT_A_BUCKET)
+    parts = min(buckets, MOST_PARTS)
     survey = save(rows.mapInArrow(_survey(k, min_words), "kind tinyint, a bigint, b bigint"), "survey")
     levels = spark.sparkContext.broadcast(_levels(survey.where("kind = 1").select("a", "b")))
     members = survey.where("kind = 0").select(F.col("a").alias("cid"), F.col("b").alias("id")).distinct()
 
     texts = rows.select("text")
-    keys = texts.mapInArrow(_emit(k, min_words, threshold, levels, buckets), "bucket int, blob binary")
-    found = keys.repartition(buckets, "bucket").mapInArrow(_candidates(threshold), "a bigint, b bigint").distinct()
-    found = save(found, "candidates")
+    keys = texts.mapInArrow(_emit(k, min_words, threshold, levels, buckets, parts), "part int, bucket bigint, hot boolean, blob binary")
+    keys = keys.repartitionById(parts, F.col("part")).sortWithinPartitions("bucket")
+    found = save(keys.mapInArrow(_candidates(threshold), _FOUND), "tiles")
+    pairs = found.where("a IS NOT NULL").select("a", "b").distinct()
+    if not found.where("tile IS NOT NULL").isEmpty():
+        pairs = pairs.union(_large_tiles(found, threshold)).distinct()
+    found = save(pairs, "candidates")
     bloom = spark.sparkContext.broadcast(_bloom(found))
     sets = texts.mapInArrow(_arrays(k, min_words, bloom), "cid bigint, runs binary").groupBy("cid").agg(F.first("runs").alias("runs"))
     pairs = (
@@ -394,7 +520,11 @@ def class_pairs(df: DataFrame, id_col: str, text_col: str, threshold: float = 0.
 
 
 def near_duplicate_pairs(df: DataFrame, id_col: str, text_col: str, threshold: float = 0.8, k: int = 5, min_words: int = 0) -> DataFrame:
-    """(id_a, id_b) with id_a < id_b: every pair of rows over the threshold, copies in all pairs."""
+    """(id_a, id_b) with id_a < id_b: every pair of rows over the threshold.
+
+    Copies come in all pairs, so the result grows with the square of a group of copies; where
+    that isn't bounded, use ``near_duplicate_groups``, which has one row per row of ``df``.
+    """
     members, pairs = class_pairs(df, id_col, text_col, threshold, k, min_words)
     a, b = (members.select(F.col("cid").alias(c), F.col("id").alias(f"id_{c}")) for c in "ab")
     across = pairs.select("a", "b").join(a, "a").join(b, "b").select(F.least("id_a", "id_b").alias("id_a"), F.greatest("id_a", "id_b").alias("id_b")).where("id_a < id_b")
@@ -402,21 +532,40 @@ def near_duplicate_pairs(df: DataFrame, id_col: str, text_col: str, threshold: f
     return across.union(within).distinct()
 
 
+HOT_SHARE, HOT_ROWS = 10_000, 100_000
+
+
+def join_counted(big: DataFrame, one: DataFrame, key: str, least: int = HOT_ROWS) -> DataFrame:
+    """``big`` joined to ``one``, which has at most one row per key and, as ``_n``, the number of rows of ``big`` with it; both saved.
+
+    Keys with more than 1 / HOT_SHARE of all rows, of which there are fewer than HOT_SHARE, are joined by broadcast
+    and lie in no one task; the rest is joined as usual.
+    """
+    total = one.agg(F.sum("_n")).first()[0] or 0
+    hot = one.where(F.col("_n") > max(least, total / HOT_SHARE))
+    one_key = F.broadcast(hot.select(key))
+    if hot.isEmpty():
+        return big.join(one.drop("_n"), key)
+    rest = big.join(one_key, key, "left_anti").join(one.join(one_key, key, "left_anti").drop("_n"), key)
+    return rest.unionByName(big.join(F.broadcast(hot.drop("_n")), key))
+
+
 def components(edges: DataFrame, a: str = "a", b: str = "b", rounds: int = 40) -> DataFrame:
     """(node, root): the smallest node of each node's component.
 
     Alternating large-star and small-star steps: linear messages per round, a logarithmic number
-    of rounds in practice; each round is a table in the shared folder.  Raises if not done in ``rounds``.
+    of rounds in practice; each round is a table in the shared folder.  A node with many neighbours is
+    joined apart from the others.  Raises if not done in ``rounds``.
     """
     e = edges.select(F.greatest(a, b).alias("u"), F.least(a, b).alias("v")).where("u <> v").distinct()
     e = save(e, "edges")
     total = None
     for _ in range(rounds):
         both = e.union(e.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        low = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
-        large = both.join(low, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
-        low = large.groupBy("u").agg(F.min("v").alias("m"))
-        small = large.join(low, "u").select(F.explode(F.array(F.struct("u", F.col("m").alias("v")), F.struct(F.col("v").alias("u"), F.col("m").alias("v")))).alias("s"))
+        low = save(both.groupBy("u").agg(F.min("v").alias("m"), F.count("*").alias("_n")).select("u", F.least("u", "m").alias("m"), "_n"), "low")
+        large = save(join_counted(both, low, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct(), "large")
+        low = save(large.groupBy("u").agg(F.min("v").alias("m"), F.count("*").alias("_n")), "low")
+        small = join_counted(large, low, "u").select(F.explode(F.array(F.struct("u", F.col("m").alias("v")), F.struct(F.col("v").alias("u"), F.col("m").alias("v")))).alias("s"))
         e = save(small.select("s.u", "s.v").where("u <> v").distinct(), "edges")
         now = e.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
         if now == total:
@@ -428,7 +577,9 @@ def components(edges: DataFrame, a: str = "a", b: str = "b", rounds: int = 40) -
 def near_duplicate_groups(df: DataFrame, id_col: str, text_col: str, threshold: float = 0.8, k: int = 5, min_words: int = 0) -> DataFrame:
     """One row per row of ``df`` with enough words: id, class id, the class's links to other classes, and the group (smallest class id of the component)."""
     members, pairs = class_pairs(df, id_col, text_col, threshold, k, min_words)
-    pairs = save(pairs, "pairs")
+    members, pairs = save(members, "members"), save(pairs, "pairs")
     links = pairs.select(F.explode(F.array("a", "b")).alias("cid")).groupBy("cid").agg(F.count("*").alias("links"))
     root = components(pairs).withColumnRenamed("node", "cid")
-    return members.join(links, "cid", "left").join(root, "cid", "left").select("id", F.col("cid").alias("class_id"), F.coalesce("links", F.lit(0)).alias("links"), F.coalesce("root", "cid").alias("group_id"))
+    classes = members.groupBy("cid").agg(F.count("*").alias("_n")).join(links, "cid", "left").join(root, "cid", "left")
+    classes = save(classes.select("cid", F.coalesce("links", F.lit(0)).alias("links"), F.coalesce("root", "cid").alias("group_id"), "_n"), "classes")
+    return join_counted(members, classes, "cid").select("id", F.col("cid").alias("class_id"), "links", "group_id")

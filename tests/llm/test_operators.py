@@ -117,13 +117,12 @@ def test_near_duplicates(spark, threshold, k, least):
 
 
 def test_near_duplicates_with_hot_keys(spark, monkeypatch):
-    """Many texts share most of a template, so that keys are hot and are cut into tiles."""
+    """Many texts share most of a template, so that keys are hot: spread over buckets, cut into large tiles and compared across."""
     rng = random.Random(4)
     template = " ".join(f"t{i}" for i in range(60))
     rows = [(i, edited(rng, template, 0.08)) for i in range(260)]
     monkeypatch.setattr(near_duplicates, "LOCAL_HEAVY", 2)
-    runs = [near_duplicates._sets([t for _, t in rows], 3, 20)]
-    doc, run, n = next((d, r, n) for _, d, r, n, _ in runs[0])
+    _, _, run, _, _ = next(near_duplicates._sets([t for _, t in rows], 3, 20))
     levels = np.zeros(2 * near_duplicates.CELLS, np.uint8)
     a, c = near_duplicates._cells(run)
     levels[np.concatenate((a, c + near_duplicates.CELLS))] = 15  # as if every run were in 2**14 texts
@@ -133,15 +132,64 @@ def test_near_duplicates_with_hot_keys(spark, monkeypatch):
     assert got == brute_pairs(rows, 0.7, 3, 20)
 
 
+def bucket_rows(rows, threshold, k, least, size=7):
+    """All keys of the texts in one bucket, in blobs of a few texts."""
+    levels = types.SimpleNamespace(value=np.zeros(2 * near_duplicates.CELLS, np.uint8))
+    texts = [t for _, t in rows]
+    batches = [pa.record_batch([pa.array(texts[i : i + size], pa.string())], names=["text"]) for i in range(0, len(texts), size)]
+    return [b for x in batches for b in near_duplicates._emit(k, least, threshold, levels, 1, 1)(iter([x]))]
+
+
+def test_oversized_groups_and_buckets_lose_no_pair(spark, monkeypatch):
+    """Groups over HOT and buckets over BUCKET_BYTES leave the task as large tiles; the tiles' pairs are found by the join."""
+    rows = [(i, t) for i, t in near_rows(60) if i is not None and t]
+    want = brute_pairs(rows, 0.7, 3, 20)
+    cid = {i: int(c[0]) for i, t in rows for _, _, _, _, c in near_duplicates._sets([t], 3, 20)}
+    want = {tuple(sorted((cid[a], cid[b]))) for a, b in want if cid[a] != cid[b]}
+    for name, value in (("HOT", 1), ("BUCKET_BYTES", 20_000), ("LARGE_TILE", 2)):
+        with monkeypatch.context() as m:
+            m.setattr(near_duplicates, name, value)
+            if name == "LARGE_TILE":
+                m.setattr(near_duplicates, "HOT", 1)
+            out = pa.Table.from_batches(list(near_duplicates._candidates(0.7)(iter(bucket_rows(rows, 0.7, 3, 20)))))
+        found = spark.createDataFrame(out, near_duplicates._FOUND)
+        inside = {(r["a"], r["b"]) for r in out.to_pylist() if r["a"] is not None}
+        across = {(r.a, r.b) for r in near_duplicates._large_tiles(found, 0.7).collect()}
+        assert want <= inside | across and not want <= inside, name
+
+
 def test_tiles_lose_no_pair_within_the_radius():
     rng = np.random.default_rng(5)
     sk = rng.integers(0, 2**63, (300, 4), dtype=np.uint64) & rng.integers(0, 2**63, (300, 4), dtype=np.uint64)
     sk[100:200] = sk[:100] ^ np.uint64(5)
     n = np.full(300, 60)
-    got = {tuple(sorted(p)) for a, b in near_duplicates.compare_tiles(np.arange(300), n, sk, 0.8, tile=32) for p in zip(a.tolist(), b.tolist())}
-    radius = int(near_duplicates._radius(0.8, np.array([120]))[0])
-    want = {(i, j) for i in range(300) for j in range(i + 1, 300) if int(np.bitwise_count(sk[i] ^ sk[j]).sum()) <= radius}
-    assert got == want and len(want) >= 100
+    n[200:] = rng.integers(20, 200, 100)
+    group = np.repeat(np.arange(6, dtype=np.uint64), (1, 2, 3, 9, 85, 200))
+    allowed = near_duplicates._allowed(0.8)
+    near = lambda i, j: max(int(np.bitwise_count(sk[i] ^ sk[j]).sum()), abs(int(n[i]) - int(n[j]))) <= allowed * (n[i] + n[j]) + 1e-9
+    flat = lambda pairs: [tuple(sorted(p)) for a, b in pairs for p in zip(a.tolist(), b.tolist())]
+    members, stats = rng.permutation(300), near_duplicates.Skipped()
+    for g in (np.zeros(300, np.uint64), group):
+        got = flat(near_duplicates.compare_tiles(g, members, n, sk, 0.8, stats))
+        want = {tuple(sorted((int(members[i]), int(members[j])))) for i in range(300) for j in range(i + 1, 300) if g[i] == g[j] and near(members[i], members[j])}
+        assert set(got) == want and len(got) == len(want) and (g.any() or len(want) >= 100)
+    assert 0 < stats.skipped < stats.pairs
+    got = flat(near_duplicates.compare_sides(members[:130], members[130:], n, sk, 0.8))
+    assert set(got) == {tuple(sorted((int(i), int(j)))) for i in members[:130] for j in members[130:] if near(i, j)} and len(got) > 20
+
+
+def test_tile_pairs_are_skipped_on_the_test_data(spark):
+    """Every candidate of the texts comes through the tiles; in the larger groups most tile pairs are skipped by population counts."""
+    from lexmill.sources.tables import revisions
+
+    texts = [r.text for r in revisions(spark.read.parquet(f"{DATA.replace('0.001', '0.1')}/reduced_page.parquet")).where("text IS NOT NULL").select("text").distinct().collect()]
+    stats, pairs = near_duplicates.Skipped(), set()
+    out = bucket_rows(list(enumerate(texts)), 0.7, 3, 20, 5000)
+    ids, n, sk, own, key = near_duplicates._read_blobs([x for b in out for x in b.column(3).to_pylist()])
+    for a, b in near_duplicates.compare_tiles(key, own, n, sk, 0.7, stats):
+        pairs |= {(min(p), max(p)) for p in zip(a.tolist(), b.tolist())}
+    print(stats, len(pairs))
+    assert pairs and stats.skipped > 0.3 * stats.pairs > 0
 
 
 def test_groups_are_components(spark):
