@@ -34,14 +34,25 @@ def new_path(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark)}/lexmill/{name}-{uuid.uuid4().hex}"
 
 
+def _remember(spark: SparkSession, path: str) -> None:
+    if not _written:
+        atexit.register(clear)
+    _written.append((spark, path))
+
+
+def folder(spark: SparkSession, name: str) -> str:
+    """A path for files that tasks write themselves; deleted with the tables."""
+    path = new_path(spark, name)
+    _remember(spark, path)
+    return path
+
+
 def save(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` as Parquet into the shared folder and return the table read again: lineage is cut, and a lost executor loses nothing."""
     spark = df.sparkSession
     path = new_path(spark, name)
     df.write.option("compression", "zstd").parquet(path)
-    if not _written:
-        atexit.register(clear)
-    _written.append((spark, path))
+    _remember(spark, path)
     return spark.read.schema(df.schema).parquet(path)
 
 
