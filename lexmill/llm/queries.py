@@ -73,6 +73,7 @@ def p4_found(spark: SparkSession, d: str) -> DataFrame:
 def _page_terms(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
     alone = F.when(F.col("page_id").isNull(), F.to_json("words")).alias("alone")  # pages without an id are told apart by content
     pages = table(spark, d, "page_words").where("words IS NOT NULL").select("page_id", "lang", "words", alone).dropDuplicates(["page_id", "alone"])
+    pages = save(pages.select("lang", "words"), "pages")
     terms = pages.select("lang", F.explode("words").alias("word", "n")).withColumn("pages", F.lit(1))
     totals = pages.where(F.size("words") > 0).groupBy(F.col("lang").alias("tk")).agg(F.count("*").alias("total"))
     return terms, totals

@@ -285,12 +285,34 @@ def test_term_counts_split_oversized_parts(spark):
         if t is not None:
             want[k, t][0] += a or 0
             want[k, t][1] += i or 0
-    for limit in (20, 10**6):
-        out = term_counts.term_counts(df, "k", "term", "a", "i", limit)
+    for limit, bits in ((2000, 0), (2000, 3), (10**6, None)):
+        out = term_counts.term_counts(df, "k", "term", "a", "i", limit, bits)
         assert {(r.k, r.term): [r.n, r.records] for r in out.collect()} == want
     assert term_counts.term_counts(df.limit(0), "k", "term", "a", "i").count() == 0
 
 
+def test_oversized_parts_are_split_again_on_disk(tmp_path):
+    """A part of many terms is split by bits, and its own parts again; one of a single hot term is combined and never split."""
+    rows = lambda terms: term_counts._combined([pa.record_batch([["x"] * len(terms), terms, [1] * len(terms), [1] * len(terms)], names=["k", "term", "n", "records"])]).to_batches()
+    part = term_counts.Part(*term_counts.file_system(f"file:{tmp_path}/a"), 0, 4000)
+    for i in range(0, 20_000, 100):
+        for b in rows([f"term {j}" for j in range(i, i + 100)]):
+            part.add(b)
+    seen = collections.Counter()
+    for leaf in part.leaves():
+        assert sum(b.nbytes for b in leaf) <= 4000
+        seen.update(t for b in leaf for t in set(b.column("term").to_pylist()))
+    assert len(seen) == 20_000 and set(seen.values()) == {1}  # no term in two parts
+    assert part.splits > 17  # the first split makes 16 parts, all of them too large
+    assert not [p for p in (tmp_path / "a").rglob("*") if p.is_file()]
+    hot = term_counts.Part(*term_counts.file_system(f"{tmp_path}/b"), 0, 4000)
+    for _ in range(5000):
+        for b in rows(["hot"]):
+            hot.add(b)
+    assert hot.splits == 0 and not (tmp_path / "b").exists()
+    assert pa.Table.from_batches(next(hot.leaves()))["n"].to_numpy().sum() == 5000
+
+
 # ---- 6: abuse
 
 
