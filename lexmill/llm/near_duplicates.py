@@ -10,14 +10,16 @@ least ``threshold`` of those found in either.
    set-similarity joins), so none is lost.  The order puts runs that are frequent in the
    corpus last; it comes from a sketch of fixed size, and any order is right, the sketch only
    makes the groups of a key small.  Comparing all tiles with all would grow with the square.
-3. *Tiles.*  The classes of a key, in order of size, are cut into tiles.  A class has ``BITS`` parity bits
+   Of a key, only it and the class id are sent; keys with the same classes are then one group, so that sketches,
+   which are longer, are sent about once or twice for each class, not once for each key.
+3. *Tiles.*  The classes of a group, in order of size, are cut into tiles.  A class has ``BITS`` parity bits
    (each run flips one), and the exclusive-or of two sketches has at most as many bits as the
    sets' symmetric difference, which the threshold bounds by a radius.  Tile pairs whose
    population counts, of sketches or of whole sets, differ by more than the radius are skipped; of the others
    all bits are compared.  Every group goes this way, whatever its size.
-   A bucket of keys is held by one task.  Members of a key that the sketch calls hot are spread over buckets and written as
-   larger tiles, as is any group that is too large and any bucket over ``BUCKET_BYTES``; the pairs of these
-   tiles, less those skipped by their population counts, are rows of a join and compared by all tasks.
+   The classes of a key that is hot are spread over buckets, and no task holds them together: as those of any group over ``HOT`` they
+   are parted into larger tiles by size; the pairs of these tiles, less those skipped
+   by their population counts, are rows of a join and compared by all tasks.
 4. *Verification.*  Surviving pairs are verified on the full sets of 48-bit run hashes.
 
 Texts with fewer than ``k`` words have no runs: those with the same words in the same order (without
@@ -30,6 +32,7 @@ words.  A row delivered twice counts once.  Class ids are 64-bit hashes.
 from __future__ import annotations
 
 import hashlib
+import math
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -46,14 +49,15 @@ CELLS = 1 << 20  # of each of the two rows of the frequency sketch
 LOCAL_HEAVY = 8  # a task reports cells with at least this count, and 4 times the mean
 BITS = 256
 WORDS = BITS // 64
-HOT = 4096  # keys of more classes than this are cut into large tiles that all tasks compare
+HOT = 4096  # groups of more classes than this are cut into large tiles that all tasks compare
 TILE = 16
 LARGE_TILE = 1024
 CELLS_AT_ONCE = 1 << 17  # pairs of classes compared in one step
-FLUSH = 20_000
-INPUT_A_BUCKET = 22  # bits: a bucket for every 4 MB of input
-BUCKET_BYTES = 96 << 20  # held by a task at most
-MOST_PARTS = 20_000  # tasks; with more buckets than this, a task takes several, one after the other
+FLUSH = 1_000_000  # keys
+RECORD = 12  # bytes: 4 of the key, as its bucket is known, and the class id
+INPUT_A_BUCKET = 23  # bits: a bucket for every 8 MB of input
+BUCKET_BYTES = 128 << 20  # held by a task at most
+MOST_PARTS = 50_000  # tasks; with more buckets than this, a task takes several, one after the other
 MASK48 = U64((1 << 48) - 1)
 
 
@@ -95,27 +99,52 @@ def _cells(run: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return (run & U64(CELLS - 1)).astype(np.int64), ((run >> U64(20)) & U64(CELLS - 1)).astype(np.int64)
 
 
+_SKETCH = [f"s{i}" for i in range(WORDS)]
+_SURVEY = f"kind tinyint, a bigint, b bigint, {', '.join(f'{c} bigint' for c in _SKETCH)}"
+
+
 def _survey(k: int, min_words: int):
-    """Task: (0, class, id) for each text; (1, cell, count) for each heavy cell."""
+    """Task: (0, class, id) for each text; (1, cell, count) for each heavy cell; (2, class, size, sketch) for each class with runs."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts = np.zeros(2 * CELLS, np.int64)
+        counts, seen = np.zeros(2 * CELLS, np.int64), _Seen()
         for b in batches:
             ids, texts = b.column(0).to_numpy(zero_copy_only=False), b.column(1).to_pylist()
-            for lo, _, runs, n, cid in _sets(texts, k, min_words):
+            for lo, doc, runs, n, cid in _sets(texts, k, min_words):
                 a, c = _cells(runs)
                 counts += np.bincount(np.concatenate((a, c + CELLS)), minlength=2 * CELLS)
                 at = np.flatnonzero(cid)
-                yield _table(np.zeros(len(at), np.int8), cid[at], ids[lo + at])
+                yield _table(0, cid[at], ids[lo + at])
+                at = np.flatnonzero(seen.fresh(cid, n))
+                yield _table(2, cid[at], n[at], _sketches(doc, runs, len(n))[at])
         usual = counts.mean()  # what other runs have in a cell, by chance
         heavy = np.flatnonzero(counts >= max(LOCAL_HEAVY, 4 * usual))
-        yield _table(np.ones(len(heavy), np.int8), heavy, counts[heavy] - int(usual))
+        yield _table(1, heavy, counts[heavy] - int(usual))
 
     return run
 
 
-def _table(kind: np.ndarray, a: np.ndarray, b: np.ndarray) -> pa.RecordBatch:
-    return pa.record_batch([pa.array(kind), pa.array(a.astype(np.int64)), pa.array(b.astype(np.int64))], names=["kind", "a", "b"])
+class _Seen:
+    """Classes that a task has met; a copy that comes again later, once there are too many, only costs its rows again."""
+
+    def __init__(self):
+        self.ids: set[int] = set()
+
+    def fresh(self, cid: np.ndarray, n: np.ndarray) -> np.ndarray:
+        """Which texts with runs are the first of their class."""
+        out = np.zeros(len(n), bool)
+        for i in np.flatnonzero(n):
+            if (c := int(cid[i])) not in self.ids:
+                self.ids.add(c)
+                out[i] = True
+        if len(self.ids) > 1_000_000:
+            self.ids.clear()
+        return out
+
+
+def _table(kind: int, a: np.ndarray, b: np.ndarray, sk: np.ndarray | None = None) -> pa.RecordBatch:
+    bits = [pa.nulls(len(a), pa.int64())] * WORDS if sk is None else [pa.array(sk[:, i].view(np.int64)) for i in range(WORDS)]
+    return pa.record_batch([pa.array(np.full(len(a), kind, np.int8)), pa.array(a.astype(np.int64)), pa.array(b.astype(np.int64)), *bits], names=["kind", "a", "b", *_SKETCH])
 
 
 def _levels(heavy: DataFrame) -> np.ndarray:
@@ -130,82 +159,43 @@ def _sketches(doc: np.ndarray, run: np.ndarray, n_docs: int) -> np.ndarray:
     """Parity bits: [text, BITS / 64]."""
     bit = (vec.mix(run) >> U64(64 - BITS.bit_length() + 1)).astype(np.int64)
     odd = np.bincount(doc * BITS + bit, minlength=n_docs * BITS).astype(np.uint8) & 1
-    return np.packbits(odd.reshape(n_docs, BITS), axis=1, bitorder="little").view(U64)
-
-
-def _blob(cid: np.ndarray, n: np.ndarray, sk: np.ndarray, own: np.ndarray, key: np.ndarray) -> bytes:
-    """Classes with their sketches once, and the keys with the numbers of their classes."""
-    return b"".join((
-        np.array([len(cid), len(key)], np.int64).tobytes(), cid.tobytes(), n.astype(np.int32).tobytes(), sk.tobytes(),
-        own.astype(np.uint16).tobytes(), key.astype(np.uint32).tobytes(), (key >> U64(32)).astype(np.uint16).tobytes(),
-    ))
-
+    return np.ascontiguousarray(np.packbits(odd.reshape(n_docs, BITS), axis=1, bitorder="little")).view(U64)
 
-def _read_blobs(blobs: list[bytes]) -> tuple[np.ndarray, ...]:
-    """(class, size, sketch) of all classes, each once, and (number of its class, key) of all keys."""
-    cid, n, sk, own, key, base = [], [], [], [], [], 0
-    for blob in blobs:
-        nd, nk = np.frombuffer(blob, np.int64, 2).tolist()
-        at = 16
-        for dtype, count, into in ((np.int64, nd, cid), (np.int32, nd, n), (U64, nd * WORDS, sk), (np.uint16, nk, own), (np.uint32, nk, key), (np.uint16, nk, key)):
-            into.append(np.frombuffer(blob, dtype, count, at))
-            at += into[-1].nbytes
-        own[-1] = own[-1].astype(np.int64) + base
-        high = key.pop().astype(U64)
-        key[-1] = key[-1].astype(U64) | (high << U64(32))
-        base += nd
-    ids, first, back = np.unique(np.concatenate(cid), return_index=True, return_inverse=True)
-    return ids, np.concatenate(n).astype(np.int64)[first], np.concatenate(sk).reshape(-1, WORDS)[first], back[np.concatenate(own)], np.concatenate(key)
 
-
-def _emit(k: int, min_words: int, threshold: float, levels, buckets: int, parts: int):
-    """Task: packed keys for each bucket; one blob per bucket and FLUSH texts, hot keys in blobs of their own."""
+def _emit(k: int, min_words: int, threshold: float, levels, buckets: int, parts: int, most: int):
+    """Task: the records (key, class id) of each bucket; hot keys apart, spread so that about ``most`` classes of one are in a bucket."""
 
     def flush(held: list[tuple]) -> Iterator[pa.RecordBatch]:
-        cid, n, sk = (np.concatenate([p[j] for p in held]) for j in (0, 1, 2))
-        base = np.cumsum([0, *(len(p[0]) for p in held)])
-        at = np.concatenate([p[3] + o for p, o in zip(held, base)])
-        key = np.concatenate([p[4] for p in held])
-        rank = np.concatenate([p[5] for p in held]).astype(np.int64)
-        hot = rank > HOT.bit_length()
-        spread = np.where(hot, 1 << np.maximum(rank - HOT.bit_length() + 1, 0), 1).astype(U64)  # so that about HOT of its classes are in one bucket
-        salt = vec.mix(cid.view(U64))[at] % spread
+        cid, key, rank = (np.concatenate([p[j] for p in held]) for j in (0, 1, 2))
+        excess = rank.astype(np.int64) - most.bit_length()
+        hot = excess > 0
+        salt = np.where(hot, vec.mix(cid.view(U64)) % (U64(1) << np.clip(excess + 1, 0, 40).astype(U64)), U64(0))
         bucket = (vec.mix(key + salt * U64(0x9E3779B97F4A7C15)) % U64(buckets)).astype(np.int64) * 2 + hot
         order = np.argsort(bucket, kind="stable")
-        start = np.flatnonzero(np.diff(bucket[order], prepend=-1))
-        rows = []
-        for lo, hi in zip(start, [*start[1:], len(order)]):
-            sel = order[lo:hi]
-            docs, local = np.unique(at[sel], return_inverse=True)
-            rows.append((int(bucket[sel[0]]), _blob(cid[docs], n[docs], sk[docs], local, key[sel])))
-        for lo in range(0, len(rows), 5000):
-            b = np.array([r[0] for r in rows[lo : lo + 5000]])
-            columns = [pa.array((b // 2 % parts).astype(np.int32)), pa.array(b // 2), pa.array(b % 2 == 1), pa.array([r[1] for r in rows[lo : lo + 5000]], pa.binary())]
-            yield pa.record_batch(columns, names=["part", "bucket", "hot", "blob"])
+        bucket, key, cid = bucket[order], key[order], cid[order]
+        record = np.empty((len(key), RECORD), np.uint8)
+        record[:, :4] = key.astype(np.uint32).view(np.uint8).reshape(-1, 4)
+        record[:, 4:] = cid.view(np.uint8).reshape(-1, 8)
+        start = np.flatnonzero(np.diff(bucket, prepend=-1))
+        offsets = pa.py_buffer(np.append(start, len(key)).astype(np.int32) * np.int32(RECORD))
+        blobs = pa.Array.from_buffers(pa.binary(), len(start), [None, offsets, pa.py_buffer(record)])
+        b = bucket[start]
+        yield pa.record_batch([pa.array((b // 2 % parts).astype(np.int32)), pa.array(b // 2), pa.array(b % 2 == 1), blobs], names=["part", "bucket", "hot", "blob"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         level = levels.value
-        held, count, seen = [], 0, set()
+        held, count, seen = [], 0, _Seen()
         for b in batches:
-            texts = b.column(0).to_pylist()
-            for _, doc, runs, n, cid in _sets(texts, k, min_words):
-                fresh = np.zeros(len(n), bool)
-                for i in np.flatnonzero(n):
-                    if (c := int(cid[i])) not in seen:
-                        seen.add(c)
-                        fresh[i] = True
-                if len(seen) > 1_000_000:  # a copy that comes again later only costs its keys again
-                    seen.clear()
+            for _, doc, runs, n, cid in _sets(b.column(0).to_pylist(), k, min_words):
                 a, c = _cells(runs)
                 rank = np.minimum(level[a], level[c + CELLS]).astype(U64)
                 order = np.sort((doc.astype(U64) << U64(54)) | (rank << U64(48)) | runs)
                 doc = (order >> U64(54)).astype(np.int64)
                 first = np.concatenate(([0], np.cumsum(n)))
                 place = np.arange(len(order)) - first[doc]
-                use = (place < (n - _ceil(threshold, n) + 1)[doc]) & fresh[doc]
-                at = np.cumsum(fresh) - 1
-                held.append((cid[fresh], n[fresh], _sketches(doc, order & MASK48, len(n))[fresh], at[doc[use]], order[use] & MASK48, (order[use] >> U64(48)) & U64(63)))
-                count += int(fresh.sum())
+                use = (place < (n - _ceil(threshold, n) + 1)[doc]) & seen.fresh(cid, n)[doc]
+                held.append((cid[doc[use]], order[use] & MASK48, ((order[use] >> U64(48)) & U64(63)).astype(np.uint8)))
+                count += len(held[-1][0])
                 if count >= FLUSH:
                     yield from flush(held)
                     held, count = [], 0
@@ -215,6 +205,55 @@ def _emit(k: int, min_words: int, threshold: float, levels, buckets: int, parts:
     return run
 
 
+_GROUPS = "gid bigint, large boolean, members array<bigint>"
+
+
+def _group(most: int, bucket_bytes: int):
+    """Task over (part, bucket, hot, blob), buckets in order: the groups of classes with the same key, each set of classes once.
+
+    Groups over ``most``, hot keys and buckets that come in several pieces give parts of groups (``large``), which belong together by ``gid``.
+    """
+
+    def groups(number: int, blobs: list[bytes], hot: bool, whole: bool) -> Iterator[pa.RecordBatch]:
+        record = np.frombuffer(b"".join(blobs), np.uint8).reshape(-1, RECORD)
+        key, cid = np.ascontiguousarray(record[:, :4]).view(np.uint32).ravel(), np.ascontiguousarray(record[:, 4:]).view(np.int64).ravel()
+        order = np.lexsort((cid, key))
+        key, cid = key[order], cid[order]
+        fresh = np.concatenate(([True], (key[1:] != key[:-1]) | (cid[1:] != cid[:-1])))
+        key, cid = key[fresh], cid[fresh]
+        start = np.flatnonzero(np.concatenate(([True], key[1:] != key[:-1])))
+        size = np.diff(np.append(start, len(key)))
+        of_key = vec.mix(key[start].astype(U64) + U64(0 if hot else (number + 1) << 32))
+        of_set = vec.mix(np.add.reduceat(vec.mix(cid.view(U64)), start) ^ size.astype(U64))
+        large = (size > most) | hot | (not whole)
+        small = np.flatnonzero(~large & (size > 1))
+        small = small[np.unique(of_set[small], return_index=True)[1]]
+        for at, gid, is_large in ((small, of_set, False), (np.flatnonzero(large), of_key, True)):
+            for lo in range(0, len(at), 50_000):
+                g = at[lo : lo + 50_000]
+                ends = np.concatenate(([0], np.cumsum(size[g])))
+                idx = np.repeat(start[g] - ends[:-1], size[g]) + np.arange(ends[-1])
+                members = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(cid[idx]))
+                yield pa.record_batch([pa.array(gid[g].view(np.int64)), pa.array(np.full(len(g), is_large)), members], names=["gid", "large", "members"])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        now, hot_now, piece, held, size = None, False, 0, [], 0
+        for b in batches:
+            for number, hot, blob in zip(b.column(1).to_pylist(), b.column(2).to_pylist(), b.column(3).to_pylist()):
+                same = (number, hot) == (now, hot_now)
+                if held and (not same or size > bucket_bytes):
+                    yield from groups(now, held, hot_now, whole=not same and not piece)
+                    piece = piece + 1 if same else 0
+                    held, size = [], 0
+                now, hot_now = number, hot
+                held.append(blob)
+                size += len(blob)
+        if held:
+            yield from groups(now, held, hot_now, whole=not piece)
+
+    return run
+
+
 def _allowed(threshold: float) -> float:
     """The radius, for each element of two sets together: of two sets over the threshold, the largest symmetric difference."""
     return (1 - threshold) / (1 + threshold)
@@ -317,99 +356,90 @@ def _near(rows: np.ndarray, cols: np.ndarray, n: np.ndarray, sk: np.ndarray, thr
     return np.maximum(differ, np.abs(na - nb)) <= _allowed(threshold) * (na + nb) + 1e-9
 
 
-def _candidates(threshold: float):
-    """Task over (part, bucket, hot, blob), buckets in order: pairs of classes (a, b), and the large tiles (key, tile, least and largest counts, blob) of hot keys."""
-
-    def bucket(number: int, piece: int, cold: list[bytes], hot: list[bytes], whole: bool) -> Iterator[pa.RecordBatch]:
-        tiles = []
-        for blobs, split in ((cold, not whole), (hot, True)):
-            if not blobs:
-                continue
-            ids, n, sk, own, key = _read_blobs(blobs)
-            pop = np.bitwise_count(sk).sum(axis=1, dtype=np.int64)
-            order = np.lexsort((own, n[own], key))
-            key, own = key[order], own[order]
-            fresh = np.concatenate(([True], (key[1:] != key[:-1]) | (own[1:] != own[:-1])))
-            key, own = key[fresh], own[fresh]
-            start = np.flatnonzero(np.concatenate(([True], key[1:] != key[:-1])))
-            size = np.diff(np.append(start, len(key)))
-            large = (size > HOT) | split
-            for s, m in zip(start[large], size[large]):
-                for lo in range(s, s + m, LARGE_TILE):
-                    x = own[lo : min(lo + LARGE_TILE, s + m)]
-                    blob = _blob(ids[x], n[x], sk[x], np.zeros(0, np.int64), np.zeros(0, U64))
-                    tiles.append((int(key[s]), len(tiles), int(n[x[0]]), int(n[x[-1]]), int(pop[x].min()), int(pop[x].max()), blob))
-            small = np.repeat(~large & (size > 1), size)
-            found, held = [np.zeros((0, 2), np.int64)], 0
-            for a, b in compare_tiles(key[small], own[small], n, sk, threshold):
-                found.append(np.sort(np.column_stack((ids[a], ids[b])), axis=1))
-                held += len(a)
-                if held > 1_000_000:
-                    yield _found(np.unique(np.concatenate(found), axis=0), [])
-                    found, held = [np.zeros((0, 2), np.int64)], 0
-            yield _found(np.unique(np.concatenate(found), axis=0), [])
-        for lo in range(0, len(tiles), 500):
-            yield _found(np.zeros((0, 2), np.int64), [(t[0], (number << 34) + (piece << 24) + t[1], *t[2:]) for t in tiles[lo : lo + 500]])
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        now, piece, held, size = None, 0, ([], []), 0
-        for b in batches:
-            for number, hot, blob in zip(b.column(1).to_pylist(), b.column(2).to_pylist(), b.column(3).to_pylist()):
-                if now is not None and (number != now or size > BUCKET_BYTES):
-                    yield from bucket(now, piece, *held, whole=number != now and not piece)
-                    piece = piece + 1 if number == now else 0
-                    held, size = ([], []), 0
-                now = number
-                held[hot].append(blob)
-                size += len(blob)
-        if now is not None:
-            yield from bucket(now, piece, *held, whole=not piece)
+def _pairs_in(near: Iterator[tuple[np.ndarray, np.ndarray]], ids: np.ndarray) -> Iterator[pa.RecordBatch]:
+    """Pairs of class ids, the smaller first, each about once."""
+    found, held = [np.zeros((0, 2), np.int64)], 0
+    for p, q in near:
+        p, q = ids[p], ids[q]
+        found.append(np.sort(np.column_stack((p, q))[p != q], axis=1))
+        held += len(found[-1])
+        if held > 1_000_000:
+            yield _pairs(np.unique(np.concatenate(found), axis=0))
+            found, held = found[:1], 0
+    yield _pairs(np.unique(np.concatenate(found), axis=0))
 
-    return run
 
+def _tiled(threshold: float):
+    """Task over (gid, cid, n, sketch) in order of gid: pairs of classes of a group within the radius."""
 
-_FOUND = "a bigint, b bigint, key bigint, tile bigint, n_lo int, n_hi int, pop_lo int, pop_hi int, blob binary"
+    def compare(held: list[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        gid, ids, n, *sk = (np.concatenate([b.column(i).to_numpy() for b in held]) for i in range(3 + WORDS))
+        near = compare_tiles(gid.view(U64), np.arange(len(ids)), n, np.column_stack(sk).view(U64), threshold)
+        return _pairs_in(near, ids)
 
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, rows = [], 0
+        for b in batches:
+            held.append(b)
+            rows += b.num_rows
+            last = b.column(0).to_numpy()
+            if rows > 100_000 and last[0] != last[-1]:  # all but the last group is there
+                cut = int(np.searchsorted(last, last[-1]))
+                held[-1] = b.slice(0, cut)
+                yield from compare(held)
+                held, rows = [b.slice(cut)], b.num_rows - cut
+        if rows:
+            yield from compare(held)
 
-def _found(pairs: np.ndarray, tiles: list[tuple]) -> pa.RecordBatch:
-    kinds = (pa.int64(), pa.int64(), pa.int64(), pa.int64(), *[pa.int32()] * 4, pa.binary())
-    names = [x.split()[0] for x in _FOUND.split(", ")]
-    if tiles:
-        columns = [pa.nulls(len(tiles), pa.int64())] * 2 + [pa.array(c, t) for c, t in zip(zip(*tiles), kinds[2:])]
-    else:
-        columns = [pa.array(pairs[:, 0]), pa.array(pairs[:, 1])] + [pa.nulls(len(pairs), t) for t in kinds[2:]]
-    return pa.record_batch(columns, names=names)
+    return run
 
 
 def _across(threshold: float):
-    """Task over (same tile, blob, blob): pairs of classes within the radius in two large tiles."""
+    """Task over (same tile, tile, tile), lists of (cid, n, sketch): pairs of classes within the radius in two large tiles."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            for same, x, y in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), b.column(2).to_pylist()):
-                x, y = _read_blobs([x]), _read_blobs([y])
-                n, sk = np.concatenate((x[1], y[1])), np.concatenate((x[2], y[2]))
-                ids, m, found = np.concatenate((x[0], y[0])), len(x[0]), [np.zeros((0, 2), np.int64)]
+            for i in range(b.num_rows):
+                x, y = (b.column(c)[i].values for c in (1, 2))
+                ids, n, *sk = (np.concatenate((x.field(f).to_numpy(zero_copy_only=False), y.field(f).to_numpy(zero_copy_only=False))) for f in range(2 + WORDS))
+                sk, m = np.column_stack(sk).view(U64), len(x)
+                same = b.column(0)[i].as_py()
                 near = compare_tiles(np.zeros(m, U64), np.arange(m), n, sk, threshold) if same else compare_sides(np.arange(m), np.arange(m, len(ids)), n, sk, threshold)
-                for p, q in near:
-                    p, q = ids[p], ids[q]
-                    found.append(np.sort(np.column_stack((p, q))[p != q], axis=1))
-                yield _pairs(np.concatenate(found))
+                yield from _pairs_in(near, ids)
 
     return run
 
 
-def _large_tiles(found: DataFrame, threshold: float) -> DataFrame:
-    """Pairs of classes in large tiles of the same key: the tiles' counts are joined first, then what tile pairs remain is."""
-    tiles = found.where("tile IS NOT NULL")
+def _large_groups(rows: DataFrame, threshold: float, tile: int) -> DataFrame:
+    """Pairs of classes of the same large group: tiles by size and hash, the tiles' counts joined first, then what tile pairs remain is."""
+    band = F.floor(F.log("n") * (4 / -math.log(threshold)))  # a size range that is small beside the radius
+    rows = save(rows.distinct().withColumn("band", band), "large")
+    counts = rows.groupBy("gid", "band").agg(F.count("*").alias("members"))
+    salt = F.pmod(F.xxhash64("cid"), F.ceil(F.col("members") / tile))
+    pop = sum((F.bit_count(c) for c in _SKETCH), F.lit(0))
+    reach = [f(c).alias(f"{c}_{x}") for c in ("n", "pop") for f, x in ((F.min, "lo"), (F.max, "hi"))]
+    tiles = rows.join(counts, ["gid", "band"]).withColumns({"salt": salt, "pop": pop}).groupBy("gid", "band", "salt")
+    tiles = tiles.agg(F.collect_list(F.struct("cid", "n", *_SKETCH)).alias("rows"), *reach).withColumn("tile", F.struct("band", "salt"))
+    tiles = save(tiles.drop("band", "salt"), "large_tiles")
     side = lambda x: [F.col(c).alias(f"{c}_{x}") for c in ("tile", "n_lo", "n_hi", "pop_lo", "pop_hi")]
-    both = tiles.select("key", *side("x")).join(tiles.select("key", *side("y")), "key").where("tile_x <= tile_y")
+    both = tiles.select("gid", *side("x")).join(tiles.select("gid", *side("y")), "gid").where("tile_x <= tile_y")
     radius = F.lit(_allowed(threshold)) * (F.col("n_hi_x") + F.col("n_hi_y")) + 1e-9
     for c in ("n", "pop"):
         both = both.where((F.col(f"{c}_lo_y") - F.col(f"{c}_hi_x") <= radius) & (F.col(f"{c}_lo_x") - F.col(f"{c}_hi_y") <= radius))
     for x in "xy":
-        both = both.join(tiles.select("key", F.col("tile").alias(f"tile_{x}"), F.col("blob").alias(f"blob_{x}")), ["key", f"tile_{x}"])
-    return both.select(F.expr("tile_x = tile_y"), "blob_x", "blob_y").mapInArrow(_across(threshold), "a bigint, b bigint").distinct()
+        both = both.join(tiles.select("gid", F.col("tile").alias(f"tile_{x}"), F.col("rows").alias(f"rows_{x}")), ["gid", f"tile_{x}"])
+    return both.select(F.expr("tile_x = tile_y"), "rows_x", "rows_y").mapInArrow(_across(threshold), "a bigint, b bigint")
+
+
+def _candidates(groups: DataFrame, sketches: DataFrame, threshold: float, tile: int) -> DataFrame:
+    """Pairs of classes (a, b) within the radius; ``groups`` and ``sketches`` saved."""
+    small = groups.where("NOT large").groupBy("gid").agg(F.first("members").alias("members"))
+    small = small.select("gid", F.explode("members").alias("cid")).join(sketches, "cid").select("gid", "cid", "n", *_SKETCH)
+    pairs = small.repartition("gid").sortWithinPartitions("gid").mapInArrow(_tiled(threshold), "a bigint, b bigint")
+    large = groups.where("large").select("gid", F.explode("members").alias("cid"))
+    if not large.isEmpty():
+        pairs = pairs.union(_large_groups(large.join(sketches, "cid"), threshold, tile))
+    return pairs.distinct()
 
 
 def _pairs(x: np.ndarray) -> pa.RecordBatch:
@@ -441,21 +471,17 @@ def _arrays(k: int, min_words: int, bloom):
     """Task: the set of each class in the bitmap, as 48-bit hashes in order."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bits, seen = bloom.value, set()
+        bits, seen = bloom.value, _Seen()
         for b in batches:
             texts = b.column(0).to_pylist()
             for _, _, runs, n, cid in _sets(texts, k, min_words):
                 at = vec.mix(cid.view(U64)) >> U64(40)
                 inside = (bits[(at >> U64(3)).astype(np.int64)] >> (at & U64(7)).astype(np.uint8)) & 1
                 last, ids, blobs = np.cumsum(n), [], []
-                for i in np.flatnonzero(inside & (n > 0)):
-                    if (c := int(cid[i])) not in seen:
-                        seen.add(c)
-                        ids.append(c)
-                        own = runs[last[i] - n[i] : last[i]]
-                        blobs.append(own.astype(np.uint32).tobytes() + (own >> U64(32)).astype(np.uint16).tobytes())
-                if len(seen) > 1_000_000:
-                    seen.clear()
+                for i in np.flatnonzero(seen.fresh(cid, n * inside)):
+                    own = runs[last[i] - n[i] : last[i]]
+                    ids.append(int(cid[i]))
+                    blobs.append(own.astype(np.uint32).tobytes() + (own >> U64(32)).astype(np.uint16).tobytes())
                 yield pa.record_batch([pa.array(ids, pa.int64()), pa.array(blobs, pa.binary())], names=["cid", "runs"])
 
     return run
@@ -483,11 +509,12 @@ def _verify(threshold: float):
     return run
 
 
-def class_pairs(df: DataFrame, id_col: str, text_col: str, threshold: float = 0.8, k: int = 5, min_words: int = 0, buckets: int | None = None) -> tuple[DataFrame, DataFrame]:
+def class_pairs(df: DataFrame, id_col: str, text_col: str, threshold: float = 0.8, k: int = 5, min_words: int = 0, buckets: int | None = None, most: int = HOT, bucket_bytes: int = BUCKET_BYTES, tile: int = LARGE_TILE) -> tuple[DataFrame, DataFrame]:
     """(members: cid, id) and (pairs of classes: a, b, similarity) of all near duplicates.
 
     ``buckets``: parts of the key space, each held by one task at a time; by default the session's
-    shuffle partitions, or one for every 4 MB of input if that is more.
+    shuffle partitions, or one for every 8 MB of input if that is more.  A bucket of over ``bucket_bytes`` and a group of more than
+    ``most`` classes are compared in tiles of about ``tile`` classes by all tasks; these three change no result.
     """
     spark = df.sparkSession
     rows = df.select(F.col(id_col).cast("bigint").alias("id"), F.col(text_col).alias("text")).where("id IS NOT NULL AND text IS NOT NULL")
@@ -496,18 +523,16 @@ def class_pairs(df: DataFrame, id_col: str, text_col: str, threshold: float = 0.
         known = size if size < 1 << 60 else 0  # a plan that isn't over files has no estimate
         buckets = max(int(spark.conf.get("spark.sql.shuffle.partitions")), known >> INPUT_A_BUCKET)
     parts = min(buckets, MOST_PARTS)
-    survey = save(rows.mapInArrow(_survey(k, min_words), "kind tinyint, a bigint, b bigint"), "survey")
+    survey = save(rows.mapInArrow(_survey(k, min_words), _SURVEY), "survey")
     levels = spark.sparkContext.broadcast(_levels(survey.where("kind = 1").select("a", "b")))
     members = survey.where("kind = 0").select(F.col("a").alias("cid"), F.col("b").alias("id")).distinct()
+    sketches = survey.where("kind = 2").select(F.col("a").alias("cid"), F.col("b").alias("n"), *_SKETCH).dropDuplicates(["cid"])
 
     texts = rows.select("text")
-    keys = texts.mapInArrow(_emit(k, min_words, threshold, levels, buckets, parts), "part int, bucket bigint, hot boolean, blob binary")
-    keys = keys.repartitionById(parts, F.col("part")).sortWithinPartitions("bucket")
-    found = save(keys.mapInArrow(_candidates(threshold), _FOUND), "tiles")
-    pairs = found.where("a IS NOT NULL").select("a", "b").distinct()
-    if not found.where("tile IS NOT NULL").isEmpty():
-        pairs = pairs.union(_large_tiles(found, threshold)).distinct()
-    found = save(pairs, "candidates")
+    keys = texts.mapInArrow(_emit(k, min_words, threshold, levels, buckets, parts, most), "part int, bucket bigint, hot boolean, blob binary")
+    keys = keys.repartitionById(parts, F.col("part")).sortWithinPartitions("bucket", "hot")
+    groups = save(keys.mapInArrow(_group(most, bucket_bytes), _GROUPS), "groups")
+    found = save(_candidates(groups, sketches, threshold, tile), "candidates")
     bloom = spark.sparkContext.broadcast(_bloom(found))
     sets = texts.mapInArrow(_arrays(k, min_words, bloom), "cid bigint, runs binary").groupBy("cid").agg(F.first("runs").alias("runs"))
     pairs = (

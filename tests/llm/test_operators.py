@@ -121,7 +121,6 @@ def test_near_duplicates_with_hot_keys(spark, monkeypatch):
     rng = random.Random(4)
     template = " ".join(f"t{i}" for i in range(60))
     rows = [(i, edited(rng, template, 0.08)) for i in range(260)]
-    monkeypatch.setattr(near_duplicates, "LOCAL_HEAVY", 2)
     _, _, run, _, _ = next(near_duplicates._sets([t for _, t in rows], 3, 20))
     levels = np.zeros(2 * near_duplicates.CELLS, np.uint8)
     a, c = near_duplicates._cells(run)
@@ -132,30 +131,15 @@ def test_near_duplicates_with_hot_keys(spark, monkeypatch):
     assert got == brute_pairs(rows, 0.7, 3, 20)
 
 
-def bucket_rows(rows, threshold, k, least, size=7):
-    """All keys of the texts in one bucket, in blobs of a few texts."""
-    levels = types.SimpleNamespace(value=np.zeros(2 * near_duplicates.CELLS, np.uint8))
-    texts = [t for _, t in rows]
-    batches = [pa.record_batch([pa.array(texts[i : i + size], pa.string())], names=["text"]) for i in range(0, len(texts), size)]
-    return [b for x in batches for b in near_duplicates._emit(k, least, threshold, levels, 1, 1)(iter([x]))]
-
-
-def test_oversized_groups_and_buckets_lose_no_pair(spark, monkeypatch):
-    """Groups over HOT and buckets over BUCKET_BYTES leave the task as large tiles; the tiles' pairs are found by the join."""
+@pytest.mark.parametrize("limits", [{"most": 2, "tile": 5}, {"bucket_bytes": 500, "buckets": 2}, {"buckets": 1}, {"buckets": 1000}])
+def test_oversized_groups_and_buckets_lose_no_pair(spark, limits):
+    """Groups over the limit and buckets in several pieces leave their task and are compared as large tiles."""
     rows = [(i, t) for i, t in near_rows(60) if i is not None and t]
-    want = brute_pairs(rows, 0.7, 3, 20)
     cid = {i: int(c[0]) for i, t in rows for _, _, _, _, c in near_duplicates._sets([t], 3, 20)}
-    want = {tuple(sorted((cid[a], cid[b]))) for a, b in want if cid[a] != cid[b]}
-    for name, value in (("HOT", 1), ("BUCKET_BYTES", 20_000), ("LARGE_TILE", 2)):
-        with monkeypatch.context() as m:
-            m.setattr(near_duplicates, name, value)
-            if name == "LARGE_TILE":
-                m.setattr(near_duplicates, "HOT", 1)
-            out = pa.Table.from_batches(list(near_duplicates._candidates(0.7)(iter(bucket_rows(rows, 0.7, 3, 20)))))
-        found = spark.createDataFrame(out, near_duplicates._FOUND)
-        inside = {(r["a"], r["b"]) for r in out.to_pylist() if r["a"] is not None}
-        across = {(r.a, r.b) for r in near_duplicates._large_tiles(found, 0.7).collect()}
-        assert want <= inside | across and not want <= inside, name
+    want = {tuple(sorted((cid[a], cid[b]))) for a, b in brute_pairs(rows, 0.7, 3, 20) if cid[a] != cid[b]}
+    df = spark.createDataFrame(rows, "i bigint, t string").repartition(3)
+    _, pairs = near_duplicates.class_pairs(df, "i", "t", 0.7, 3, 20, **limits)
+    assert {(r.a, r.b) for r in pairs.collect()} == want
 
 
 def test_tiles_lose_no_pair_within_the_radius():
@@ -179,16 +163,26 @@ def test_tiles_lose_no_pair_within_the_radius():
 
 
 def test_tile_pairs_are_skipped_on_the_test_data(spark):
-    """Every candidate of the texts comes through the tiles; in the larger groups most tile pairs are skipped by population counts."""
+    """All groups of the texts of sf0.1 go through the tiles; of the tile pairs of those with several tiles, most are skipped by population counts."""
     from lexmill.sources.tables import revisions
 
     texts = [r.text for r in revisions(spark.read.parquet(f"{DATA.replace('0.001', '0.1')}/reduced_page.parquet")).where("text IS NOT NULL").select("text").distinct().collect()]
+    batches = [pa.record_batch([pa.array(texts[i : i + 5000], pa.string())], names=["text"]) for i in range(0, len(texts), 5000)]
+    levels = types.SimpleNamespace(value=np.zeros(2 * near_duplicates.CELLS, np.uint8))
+    records = near_duplicates._emit(3, 20, 0.7, levels, 1, 1, near_duplicates.HOT)(iter(batches))
+    groups = pa.Table.from_batches(list(near_duplicates._group(near_duplicates.HOT, near_duplicates.BUCKET_BYTES)(records)))
+    assert not any(groups["large"].to_pylist())
+    sketch = {}
+    for _, doc, runs, n, cid in near_duplicates._sets(texts, 3, 20):
+        sketch |= {int(c): (int(m), s) for c, m, s in zip(cid, n, near_duplicates._sketches(doc, runs, len(n)))}
+    members = groups["members"].combine_chunks()
+    ids, back = np.unique(members.flatten().to_numpy(), return_inverse=True)
+    group = np.repeat(groups["gid"].to_numpy().view(np.uint64), np.diff(members.offsets.to_numpy()))
+    n, sk = np.array([sketch[int(i)][0] for i in ids]), np.stack([sketch[int(i)][1] for i in ids])
     stats, pairs = near_duplicates.Skipped(), set()
-    out = bucket_rows(list(enumerate(texts)), 0.7, 3, 20, 5000)
-    ids, n, sk, own, key = near_duplicates._read_blobs([x for b in out for x in b.column(3).to_pylist()])
-    for a, b in near_duplicates.compare_tiles(key, own, n, sk, 0.7, stats):
+    for a, b in near_duplicates.compare_tiles(group, back, n, sk, 0.7, stats):
         pairs |= {(min(p), max(p)) for p in zip(a.tolist(), b.tolist())}
-    print(stats, len(pairs))
+    print(stats, len(pairs), len(group), len(ids))
     assert pairs and stats.skipped > 0.3 * stats.pairs > 0
 
 
