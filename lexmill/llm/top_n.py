@@ -44,22 +44,29 @@ def _best(t: pa.Table, n: int) -> tuple[pa.Table, np.ndarray]:
 
 
 def _trim(n: int):
+    """Task: its best rows, holding about HELD_ROWS at most. Where groups are smaller than n, or many, trimming frees little: what is held is then sent with its own bounds, which are valid, if lower."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held, rows, limit = [], 0, HELD_ROWS
+        held, rows = [], 0
         for b in batches:
             held.append(b)
             rows += b.num_rows
-            if rows > limit:
-                kept, _ = _best(pa.Table.from_batches(held), n)
+            if rows > HELD_ROWS:
+                kept, rank = _best(pa.Table.from_batches(held), n)
                 held, rows = kept.to_batches(), kept.num_rows
-                limit = max(HELD_ROWS, 2 * rows)
+                if rows > HELD_ROWS // 2:
+                    yield from _bounded(kept, rank, n)
+                    held, rows = [], 0
         if held:
-            kept, rank = _best(pa.Table.from_batches(held), n)
-            yield from kept.append_column("bounds", pa.array(rank == n - 1)).to_batches()
+            yield from _bounded(*_best(pa.Table.from_batches(held), n), n)
 
     return run
 
 
+def _bounded(kept: pa.Table, rank: np.ndarray, n: int) -> list[pa.RecordBatch]:
+    return kept.append_column("bounds", pa.array(rank == n - 1)).to_batches()
+
+
 def top_n(df: DataFrame, group: str, item: str, score: str, n: int) -> DataFrame:
     """(grp, item, score, rank): the n best items of every group, ranks from 1."""
     if n < 1:
