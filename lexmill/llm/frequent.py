@@ -24,8 +24,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lexmill.llm.strings import hashes
+from lexmill.scratch import save
 
 ROWS = 4
+MOST_KEYS = 1000
 U64 = np.uint64
 
 
@@ -129,40 +131,58 @@ def _found(found: dict) -> pa.RecordBatch:
     return pa.record_batch([pa.array([k for k, _ in found], pa.string()), pa.array([x for _, x in found], pa.string()), pa.array(list(found.values()), pa.int64())], names=["k", "item", "n"])
 
 
-def frequent_items(df: DataFrame, key: str, items: str, share: float, least: int = 1, width: int = 2048) -> DataFrame:
+def frequent_items(df: DataFrame, key: str, items: str, share: float, least: int = 1, width: int | None = None, most_keys: int = MOST_KEYS) -> DataFrame:
     """(k, item, n, lower, upper, total): items with at least ``least`` occurrences and ``share`` of the key's.
 
     ``items`` is an array of strings.  ``df`` is read twice: give a table, not a costly plan.
-    The sketch, keys x 4 x width cells, is of fixed size and is read on the driver.
+    ``width``: cells of a row of the sketch, by default four for each item that may have the share, up to 2**16; with
+    fewer, more items are left to the exact pass.  The driver reads the cells that may hold such an item, at most 2 / share
+    of each row and key, for up to ``most_keys`` keys.  A key column with more values has its items counted exactly, without bounds.
     """
     spark = df.sparkSession
+    if width is None:
+        width = min(max(int(np.ceil(4 / share)) - 1, 1 << 8).bit_length(), 16)
+        width = 1 << width
     rows = df.select(F.col(key).cast("string").alias("k"), F.col(items).alias("items")).where("items IS NOT NULL")
-    merged = merge(rows.mapInArrow(_build(width), "k string, r int, c int, item string, total bigint, surplus bigint")).toPandas()
+    if rows.select("k").distinct().limit(most_keys + 1).count() > most_keys:
+        return _counted(rows, share, least)
+    merged = save(merge(rows.mapInArrow(_build(width), "k string, r int, c int, item string, total bigint, surplus bigint")), "cells")
+    totals = merged.where("r = 0").groupBy(F.col("k").alias("tk")).agg(F.sum("total").alias("all")).toPandas()
+    totals = [(k if isinstance(k, str) else None, int(n), max(least, int(np.ceil(share * n - 1e-9)))) for k, n in zip(totals["tk"], totals["all"])]
+    totals_df = spark.createDataFrame(totals, "tk string, total_of_key bigint, need bigint")
+    cells = merged.join(F.broadcast(totals_df), F.expr("k <=> tk")).where("total + surplus >= 2 * need").toPandas()
     wanted, bounds = {}, []
-    for k, g in merged.groupby("k", dropna=False):
+    needs = {k: need for k, _, need in totals}
+    for k, g in cells.groupby("k", dropna=False):
         k = k if isinstance(k, str) else None
         total, surplus = np.zeros((ROWS, width), np.int64), np.zeros((ROWS, width), np.int64)
         at = g["r"].to_numpy(), g["c"].to_numpy()
         total[at], surplus[at] = g["total"], g["surplus"]
-        need = max(least, int(np.ceil(share * total[0].sum() - 1e-9)))
         names = pa.array(sorted(set(g["item"].dropna())), pa.string())
         h = hashes(names)
-        cells, holder = _cells(h, width), np.zeros((ROWS, width), U64)
+        cell, holder = _cells(h, width), np.zeros((ROWS, width), U64)
         own = g["item"].notna().to_numpy()
         holder[at[0][own], at[1][own]] = hashes(pa.array(g["item"][own], pa.string()))
-        mine = np.stack([holder[r][cells[r]] == h for r in range(ROWS)])
-        v, c = (np.stack([x[r][cells[r]] for r in range(ROWS)]) for x in (total, surplus))
+        mine = np.stack([holder[r][cell[r]] == h for r in range(ROWS)])
+        v, c = (np.stack([x[r][cell[r]] for r in range(ROWS)]) for x in (total, surplus))
         upper, lower = np.where(mine, v + c, v - c).min(axis=0) // 2, np.where(mine, c, 0).max(axis=0)
-        keep = upper >= need
-        wanted[k] = (h[keep], (total - surplus) // 2 >= need)
+        keep = upper >= needs[k]
+        wanted[k] = (h[keep], (total - surplus) // 2 >= needs[k])
         bounds += [(k, n.as_py(), int(lo), int(up)) for n, lo, up, ok in zip(names, lower, upper, keep) if ok]
     exact = rows.mapInArrow(_exact(width, spark.sparkContext.broadcast(wanted)), "k string, item string, n bigint").groupBy("k", "item").agg(F.sum("n").alias("n"))
-    totals = [(k if isinstance(k, str) else None, int(n)) for k, n in merged[merged["r"] == 0].groupby("k", dropna=False)["total"].sum().items()]
-    totals = spark.createDataFrame(totals, "tk string, total bigint")
     bounds = spark.createDataFrame(bounds, "bk string, bi string, lower bigint, upper bigint")
     return (
-        exact.join(F.broadcast(totals), F.expr("k <=> tk"))
-        .where((F.col("n") >= least) & (F.col("n") >= F.col("total") * share - 1e-9))
-        .join(bounds, F.expr("k <=> bk AND item = bi"), "left")
-        .select("k", "item", "n", "lower", "upper", "total")
+        exact.join(F.broadcast(totals_df), F.expr("k <=> tk"))
+        .where("n >= need")
+        .join(F.broadcast(bounds), F.expr("k <=> bk AND item = bi"), "left")
+        .select("k", "item", "n", "lower", "upper", F.col("total_of_key").alias("total"))
     )
+
+
+def _counted(rows: DataFrame, share: float, least: int) -> DataFrame:
+    """``frequent_items`` by exact counts of all items, for any number of keys; each task combines its own before anything is sent."""
+    counts = save(rows.select("k", F.explode("items").alias("item")).where("item IS NOT NULL").groupBy("k", "item").agg(F.count("*").alias("n")), "counts")
+    totals = counts.groupBy(F.col("k").alias("tk")).agg(F.sum("n").alias("total"))
+    none = F.lit(None).cast("bigint")
+    out = counts.join(totals, F.expr("k <=> tk")).where((F.col("n") >= least) & (F.col("n") >= F.col("total") * share - 1e-9))
+    return out.select("k", "item", "n", none.alias("lower"), none.alias("upper"), "total")
