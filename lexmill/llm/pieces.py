@@ -26,6 +26,7 @@ U64 = np.uint64
 WINDOW = 32
 LANDMARK_BITS = 10
 NEAR = 400
+OUT_CHARS = 4_000_000  # sent at once
 STOPS = np.array([ord(c) for c in ".!?。！？…"], np.uint32)
 
 
@@ -86,16 +87,25 @@ def cuts(text: str, maximum: int, minimum: int, overlap: int) -> list[tuple[int,
     return out
 
 
+def _batch(rows: list[tuple]) -> pa.RecordBatch:
+    kinds = (pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.string())
+    return pa.record_batch([pa.array(c, t) for c, t in zip(zip(*rows), kinds)], names=["id", "piece", "n_pieces", "begin", "text"])
+
+
 def _split(maximum: int, minimum: int, overlap: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            for i, text in enumerate(b.column(1).to_pylist()):
+            ids = b.column(0).to_pylist()
+            rows, size = [], 0
+            for i, text in zip(ids, b.column(1).to_pylist()):
                 spans = cuts(text, maximum, minimum, overlap)
-                k = len(spans)
-                yield pa.record_batch(
-                    [pa.array([b.column(0)[i].as_py()] * k, pa.int64()), pa.array(range(k), pa.int64()), pa.array([k] * k, pa.int64()), pa.array([s for s, _ in spans], pa.int64()), pa.array([text[s:e] for s, e in spans], pa.string())],
-                    names=["id", "piece", "n_pieces", "begin", "text"],
-                )
+                rows += [(i, k, len(spans), s, text[s:e]) for k, (s, e) in enumerate(spans)]
+                size += len(text)
+                if size > OUT_CHARS:
+                    yield _batch(rows)
+                    rows, size = [], 0
+            if rows:
+                yield _batch(rows)
 
     return run
 
