@@ -3,9 +3,9 @@
 Each source s gets the same expected number of copies for each of its texts, e = T * share / tokens available,
 where T is the size of the whole.  In every source the texts are put in order of size
 (then by a hash), expected copies are summed along that order, one random offset is added, and a text is
-emitted once for every integer that its stretch crosses: floor(e) or ceil(e) times.  The order by size
-keeps the tokens reached within about one large text of the target; as a source may have a few huge texts,
-the offset is the one of ``OFFSETS`` random ones that comes nearest to the target.
+emitted once for every integer that its stretch crosses: floor(e) or ceil(e) times, and e times on average over the
+offsets.  The order by size keeps the tokens reached within one of the source's largest texts of the target; where a source has
+a few huge texts, its share can miss the target by that much, which ``shares`` reports.
 
 The sum along the order is distributed: counts by size, by hash bucket within a size, and ranks
 within a bucket, so that no task holds a whole source.
@@ -27,25 +27,36 @@ from pyspark.sql import functions as F
 
 from lexmill.scratch import save
 
-TOKENIZER = "/opt/tokenizers/byte_bpe_50k.tiktoken"
+TOKENIZER = "byte_bpe_50k.tiktoken"  # of the public vocabularies
 #: The split of a text into pieces before merges, fixed with the vocabulary.
 PATTERN = r"""'(?:[sdmt]|ll|ve|re)| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 BUCKETS = 1024
-OFFSETS = 32
+
+
+def vocabulary(path: str = TOKENIZER) -> bytes:
+    """The vocabulary file; a name without a folder is one of the installed public vocabularies. Read on the driver, and sent to the tasks: under a megabyte."""
+    if "/" not in path:
+        try:
+            import public_tokenizers
+
+            path = str(public_tokenizers.path(path))
+        except ImportError:
+            path = f"/opt/tokenizers/{path}"
+    with open(path, "rb") as f:
+        return f.read()
 
 
 @functools.cache
-def tokenizer(path: str):
+def tokenizer(ranks: bytes):
     import tiktoken
 
-    with open(path, "rb") as f:
-        ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
-    return tiktoken.Encoding("file", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={})
+    pairs = (line.split() for line in ranks.splitlines())
+    return tiktoken.Encoding("file", pat_str=PATTERN, mergeable_ranks={base64.b64decode(a): int(b) for a, b in pairs}, special_tokens={})
 
 
-def _count(path: str):
+def _count(ranks):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode = tokenizer(path).encode_ordinary
+        encode = tokenizer(ranks.value).encode_ordinary
         for b in batches:
             n = pa.array([len(encode(t)) for t in b.column(4).to_pylist()], pa.int64())
             yield pa.record_batch([*b.columns[:4], n], names=["id", "source", "h1", "h2", "tokens"])
@@ -70,7 +81,7 @@ def sized(docs: DataFrame, id_col: str, text_col: str, source_col: str, tokenize
     if targets is not None:
         names = wanted(targets).select(F.col("source").alias("target")).distinct()
         rows = rows.join(F.broadcast(names), F.col("source") == F.col("target"), "left_semi")
-    counted = save(rows.mapInArrow(_count(tokenizer_path), "id bigint, source string, h1 bigint, h2 bigint, tokens bigint"), "sized")
+    counted = save(rows.mapInArrow(_count(docs.sparkSession.sparkContext.broadcast(vocabulary(tokenizer_path))), "id bigint, source string, h1 bigint, h2 bigint, tokens bigint"), "sized")
     first = counted.groupBy("h1", "h2").agg(F.min(F.struct("id", "source", "tokens")).alias("first"))
     return first.select("first.id", "first.source", "h1", "first.tokens").where("tokens > 0")
 
@@ -102,21 +113,10 @@ def mix(texts: DataFrame, entries: list[dict], seed: int = 42) -> DataFrame:
     by_bucket = small.select("source", "tokens", "bucket", F.coalesce(F.sum("n").over(before("source", "tokens", "bucket")), F.lit(0)).alias("ahead"))
     rank = F.row_number().over(Window.partitionBy("source", "tokens", "bucket").orderBy("h1", "id"))
     placed = rows.withColumn("rank", rank).join(by_bucket, ["source", "tokens", "bucket"]).join(by_size, ["source", "tokens"])
-    placed = save(placed.select("id", "source", "tokens", "rate", (F.col("under") + F.col("ahead") + F.col("rank")).alias("at")), "placed")
-
-    def crossed(offset) -> Column:
-        return (F.floor(offset + F.col("at") * F.col("rate")) - F.floor(offset + (F.col("at") - 1) * F.col("rate"))).cast("bigint")
-
-    def random_offset(k: int) -> Column:
-        return F.pmod(F.xxhash64(F.lit(seed + k), "source"), F.lit(1 << 40)) / float(1 << 40)
-
-    # one row per source: how far each random offset ends from the target
-    off = [F.abs(F.sum(F.col("tokens") * (crossed(random_offset(k)) - F.col("rate")))).alias(f"d{k}") for k in range(OFFSETS)]
-    missed = placed.groupBy("source").agg(*off).collect()
-    best = [(r["source"], min(range(OFFSETS), key=lambda k: r[f"d{k}"])) for r in missed]
-    chosen = spark.createDataFrame(best, "source string, k int")
-    offset = F.pmod(F.xxhash64(F.lit(seed) + F.col("k"), "source"), F.lit(1 << 40)) / float(1 << 40)
-    return placed.join(F.broadcast(chosen), "source").select("id", "source", "tokens", crossed(offset).alias("copies")).where("copies > 0")
+    at, rate = F.col("under") + F.col("ahead") + F.col("rank"), F.col("rate")
+    offset = F.pmod(F.xxhash64(F.lit(seed), "source"), F.lit(1 << 40)) / float(1 << 40)
+    crossed = F.floor(offset + at * rate) - F.floor(offset + (at - 1) * rate)
+    return placed.select("id", "source", "tokens", crossed.cast("bigint").alias("copies")).where("copies > 0")
 
 
 def shares(mixed: DataFrame, entries: list[dict]) -> DataFrame:
