@@ -29,7 +29,6 @@ from pyspark.sql import functions as F
 READ_AS = ("cp1252", "latin-1", "cp1250", "iso8859-2", "cp1251", "cp437", "mac-roman", "cp850", "cp852", "cp866", "koi8-r", "cp1254", "iso8859-15", "cp1253", "cp1257")
 #: Other encodings meant, with what they were read in.
 OTHERS = (("cp1252", "gbk"), ("latin-1", "gbk"), ("gbk", "utf-8"), ("cp1252", "cp1251"), ("latin-1", "cp1251"), ("latin-1", "koi8-r"))
-LAYERS = 4
 #: Runs of non-ASCII characters, those of Chinese and full-width ones by themselves.
 RUN = re.compile(r"[^\x00-\x7f\u3000-\u9fff\uff00-\uffef]{2,}|[\u3000-\u9fff\uff00-\uffef]{2,}")
 SEQUENCE = re.compile(rb"(?:[\xc2-\xdf][\x80-\xbf]|[\xe0-\xef][\x80-\xbf]{2}|[\xf0-\xf4][\x80-\xbf]{3})+")
@@ -139,9 +138,9 @@ def options(run: str, before: str) -> tuple[tuple[float, str, tuple[str, str]],
 
 @functools.lru_cache(50_000)
 def whole(run: str, before: str, prefer: tuple[str, str] | None = None) -> tuple[str, tuple[tuple[str, str], ...]]:
-    """The run repaired through all its layers, and the ways taken; the preferred way is taken where it is one of the options."""
+    """The run repaired through all its layers, each of which lowers its cost, and the ways taken; the preferred way is taken where it is one of the options."""
     ways = []
-    while len(ways) < LAYERS and len(run) > 1 and (found := options(run, before)):
+    while len(run) > 1 and (found := options(run, before)):
         _, run, way = next((o for o in found if o[2] == prefer), found[0])
         ways.append(way)
     return run, tuple(ways)
