@@ -9,7 +9,9 @@ least ``threshold`` of those found in either.
    one global order are keys.  Two classes over the threshold share a key (the prefix filter of
    set-similarity joins), so none is lost.  The order puts runs that are frequent in the
    corpus last; it comes from a sketch of fixed size, and any order is right, the sketch only
-   makes the groups of a key small.  Comparing all tiles with all would grow with the square.
+   makes the groups of a key small.  Comparing all tiles with all would grow with the square.  Of two such classes the smaller has a shared
+   key among its first ``n - ceil(2 * threshold / (1 + threshold) * n) + 1`` runs, so a group in which no class has the key that early is dropped,
+   and a group is parted where sizes are too far apart.
    Of a key, only it and the class id are sent; keys with the same classes are then one group, so that sketches,
    which are longer, are sent about once or twice for each class, not once for each key.
 3. *Tiles.*  The classes of a group, in order of size, are cut into tiles.  A class has ``BITS`` parity bits
@@ -20,7 +22,8 @@ least ``threshold`` of those found in either.
    The classes of a key that is hot are spread over buckets, and no task holds them together: as those of any group over ``HOT`` they
    are parted into larger tiles by size; the pairs of these tiles, less those skipped
    by their population counts, are rows of a join and compared by all tasks.
-4. *Verification.*  Surviving pairs are verified on the full sets of 48-bit run hashes.
+4. *Verification.*  Surviving pairs are verified on the full sets of 48-bit run hashes, family by family, so that a set
+   is sent about once for all its pairs.
 
 Texts with fewer than ``k`` words have no runs: those with the same words in the same order (without
 words, the same text) form one class, which has no keys and is near no other.
@@ -51,10 +54,13 @@ BITS = 256
 WORDS = BITS // 64
 HOT = 4096  # groups of more classes than this are cut into large tiles that all tasks compare
 TILE = 16
+TOGETHER = 8_000_000  # elements of the sets that a task verifies together
 LARGE_TILE = 1024
 CELLS_AT_ONCE = 1 << 17  # pairs of classes compared in one step
 FLUSH = 1_000_000  # keys
-RECORD = 12  # bytes: 4 of the key, as its bucket is known, and the class id
+RECORD = 13  # bytes: 4 of the key, as its bucket is known, with the first bit for an early place; the class id; the size
+OCTAVE = 8  # steps of a size to its double
+EARLY = 1 << 31
 INPUT_A_BUCKET = 23  # bits: a bucket for every 8 MB of input
 BUCKET_BYTES = 128 << 20  # held by a task at most
 MOST_PARTS = 50_000  # tasks; with more buckets than this, a task takes several, one after the other
@@ -166,16 +172,19 @@ def _emit(k: int, min_words: int, threshold: float, levels, buckets: int, parts:
     """Task: the records (key, class id) of each bucket; hot keys apart, spread so that about ``most`` classes of one are in a bucket."""
 
     def flush(held: list[tuple]) -> Iterator[pa.RecordBatch]:
-        cid, key, rank = (np.concatenate([p[j] for p in held]) for j in (0, 1, 2))
+        cid, key, rank, early = (np.concatenate([p[j] for p in held]) for j in range(4))
+        step = np.concatenate([p[4] for p in held])
         excess = rank.astype(np.int64) - most.bit_length()
         hot = excess > 0
         salt = np.where(hot, vec.mix(cid.view(U64)) % (U64(1) << np.clip(excess + 1, 0, 40).astype(U64)), U64(0))
         bucket = (vec.mix(key + salt * U64(0x9E3779B97F4A7C15)) % U64(buckets)).astype(np.int64) * 2 + hot
         order = np.argsort(bucket, kind="stable")
-        bucket, key, cid = bucket[order], key[order], cid[order]
+        bucket, key, cid = bucket[order], (key & U64(EARLY - 1)) | np.where(early, U64(EARLY), U64(0)), cid[order]
+        key = key[order]
         record = np.empty((len(key), RECORD), np.uint8)
         record[:, :4] = key.astype(np.uint32).view(np.uint8).reshape(-1, 4)
-        record[:, 4:] = cid.view(np.uint8).reshape(-1, 8)
+        record[:, 4:12] = cid.view(np.uint8).reshape(-1, 8)
+        record[:, 12] = step[order]
         start = np.flatnonzero(np.diff(bucket, prepend=-1))
         offsets = pa.py_buffer(np.append(start, len(key)).astype(np.int32) * np.int32(RECORD))
         blobs = pa.Array.from_buffers(pa.binary(), len(start), [None, offsets, pa.py_buffer(record)])
@@ -194,7 +203,8 @@ def _emit(k: int, min_words: int, threshold: float, levels, buckets: int, parts:
                 first = np.concatenate(([0], np.cumsum(n)))
                 place = np.arange(len(order)) - first[doc]
                 use = (place < (n - _ceil(threshold, n) + 1)[doc]) & seen.fresh(cid, n)[doc]
-                held.append((cid[doc[use]], order[use] & MASK48, ((order[use] >> U64(48)) & U64(63)).astype(np.uint8)))
+                early = place < (n - _ceil(2 * threshold / (1 + threshold), n) + 1)[doc]
+                held.append((cid[doc[use]], order[use] & MASK48, ((order[use] >> U64(48)) & U64(63)).astype(np.uint8), early[use], _steps(n)[doc[use]]))
                 count += len(held[-1][0])
                 if count >= FLUSH:
                     yield from flush(held)
@@ -205,28 +215,35 @@ def _emit(k: int, min_words: int, threshold: float, levels, buckets: int, parts:
     return run
 
 
+def _steps(n: np.ndarray) -> np.ndarray:
+    return (OCTAVE * np.log2(np.maximum(n, 1))).astype(np.uint8)
+
+
 _GROUPS = "gid bigint, large boolean, members array<bigint>"
 
 
-def _group(most: int, bucket_bytes: int):
+def _group(threshold: float, most: int, bucket_bytes: int):
     """Task over (part, bucket, hot, blob), buckets in order: the groups of classes with the same key, each set of classes once.
 
     Groups over ``most``, hot keys and buckets that come in several pieces give parts of groups (``large``), which belong together by ``gid``.
     """
 
+    apart = OCTAVE * -math.log2(threshold) + 1  # steps of sizes that can't be over the threshold
+
     def groups(number: int, blobs: list[bytes], hot: bool, whole: bool) -> Iterator[pa.RecordBatch]:
         record = np.frombuffer(b"".join(blobs), np.uint8).reshape(-1, RECORD)
-        key, cid = np.ascontiguousarray(record[:, :4]).view(np.uint32).ravel(), np.ascontiguousarray(record[:, 4:]).view(np.int64).ravel()
-        order = np.lexsort((cid, key))
-        key, cid = key[order], cid[order]
+        key, cid = np.ascontiguousarray(record[:, :4]).view(np.uint32).ravel(), np.ascontiguousarray(record[:, 4:12]).view(np.int64).ravel()
+        early, key = key >= EARLY, key & np.uint32(EARLY - 1)
+        order = np.lexsort((cid, record[:, 12], key))
+        key, cid, early, step = key[order], cid[order], early[order], record[order, 12].astype(np.int64)
         fresh = np.concatenate(([True], (key[1:] != key[:-1]) | (cid[1:] != cid[:-1])))
-        key, cid = key[fresh], cid[fresh]
-        start = np.flatnonzero(np.concatenate(([True], key[1:] != key[:-1])))
+        key, cid, early, step = key[fresh], cid[fresh], early[fresh], step[fresh]
+        start = np.flatnonzero(np.concatenate(([True], (key[1:] != key[:-1]) | (np.diff(step) > apart))))
         size = np.diff(np.append(start, len(key)))
         of_key = vec.mix(key[start].astype(U64) + U64(0 if hot else (number + 1) << 32))
         of_set = vec.mix(np.add.reduceat(vec.mix(cid.view(U64)), start) ^ size.astype(U64))
         large = (size > most) | hot | (not whole)
-        small = np.flatnonzero(~large & (size > 1))
+        small = np.flatnonzero(~large & (size > 1) & np.logical_or.reduceat(early, start))
         small = small[np.unique(of_set[small], return_index=True)[1]]
         for at, gid, is_large in ((small, of_set, False), (np.flatnonzero(large), of_key, True)):
             for lo in range(0, len(at), 50_000):
@@ -356,17 +373,26 @@ def _near(rows: np.ndarray, cols: np.ndarray, n: np.ndarray, sk: np.ndarray, thr
     return np.maximum(differ, np.abs(na - nb)) <= _allowed(threshold) * (na + nb) + 1e-9
 
 
-def _pairs_in(near: Iterator[tuple[np.ndarray, np.ndarray]], ids: np.ndarray) -> Iterator[pa.RecordBatch]:
-    """Pairs of class ids, the smaller first, each about once."""
-    found, held = [np.zeros((0, 2), np.int64)], 0
+_CANDIDATES = "a bigint, b bigint, na bigint, nb bigint"
+
+
+def _pairs_in(near: Iterator[tuple[np.ndarray, np.ndarray]], ids: np.ndarray, n: np.ndarray) -> Iterator[pa.RecordBatch]:
+    """Pairs of class ids, the smaller first, each about once, and the sizes of both sets."""
+
+    def once(found: list[np.ndarray]) -> pa.RecordBatch:
+        x = np.unique(np.concatenate(found), axis=0)
+        return pa.record_batch([pa.array(np.ascontiguousarray(x[:, i])) for i in range(4)], names=["a", "b", "na", "nb"])
+
+    found, held = [np.zeros((0, 4), np.int64)], 0
     for p, q in near:
-        p, q = ids[p], ids[q]
-        found.append(np.sort(np.column_stack((p, q))[p != q], axis=1))
-        held += len(found[-1])
+        p, q = np.where(ids[p] < ids[q], p, q), np.where(ids[p] < ids[q], q, p)
+        p, q = p[ids[p] != ids[q]], q[ids[p] != ids[q]]
+        found.append(np.column_stack((ids[p], ids[q], n[p], n[q])))
+        held += len(p)
         if held > 1_000_000:
-            yield _pairs(np.unique(np.concatenate(found), axis=0))
+            yield once(found)
             found, held = found[:1], 0
-    yield _pairs(np.unique(np.concatenate(found), axis=0))
+    yield once(found)
 
 
 def _tiled(threshold: float):
@@ -375,7 +401,7 @@ def _tiled(threshold: float):
     def compare(held: list[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         gid, ids, n, *sk = (np.concatenate([b.column(i).to_numpy() for b in held]) for i in range(3 + WORDS))
         near = compare_tiles(gid.view(U64), np.arange(len(ids)), n, np.column_stack(sk).view(U64), threshold)
-        return _pairs_in(near, ids)
+        return _pairs_in(near, ids, n)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, rows = [], 0
@@ -405,7 +431,7 @@ def _across(threshold: float):
                 sk, m = np.column_stack(sk).view(U64), len(x)
                 same = b.column(0)[i].as_py()
                 near = compare_tiles(np.zeros(m, U64), np.arange(m), n, sk, threshold) if same else compare_sides(np.arange(m), np.arange(m, len(ids)), n, sk, threshold)
-                yield from _pairs_in(near, ids)
+                yield from _pairs_in(near, ids, n)
 
     return run
 
@@ -428,22 +454,34 @@ def _large_groups(rows: DataFrame, threshold: float, tile: int) -> DataFrame:
         both = both.where((F.col(f"{c}_lo_y") - F.col(f"{c}_hi_x") <= radius) & (F.col(f"{c}_lo_x") - F.col(f"{c}_hi_y") <= radius))
     for x in "xy":
         both = both.join(tiles.select("gid", F.col("tile").alias(f"tile_{x}"), F.col("rows").alias(f"rows_{x}")), ["gid", f"tile_{x}"])
-    return both.select(F.expr("tile_x = tile_y"), "rows_x", "rows_y").mapInArrow(_across(threshold), "a bigint, b bigint")
+    return both.select(F.expr("tile_x = tile_y"), "rows_x", "rows_y").mapInArrow(_across(threshold), _CANDIDATES)
 
 
 def _candidates(groups: DataFrame, sketches: DataFrame, threshold: float, tile: int) -> DataFrame:
-    """Pairs of classes (a, b) within the radius; ``groups`` and ``sketches`` saved."""
+    """Pairs of classes (a, b) within the radius, and the sizes of both; ``groups`` and ``sketches`` saved."""
     small = groups.where("NOT large").groupBy("gid").agg(F.first("members").alias("members"))
     small = small.select("gid", F.explode("members").alias("cid")).join(sketches, "cid").select("gid", "cid", "n", *_SKETCH)
-    pairs = small.repartition("gid").sortWithinPartitions("gid").mapInArrow(_tiled(threshold), "a bigint, b bigint")
+    pairs = small.repartition("gid").sortWithinPartitions("gid").mapInArrow(_tiled(threshold), _CANDIDATES)
     large = groups.where("large").select("gid", F.explode("members").alias("cid"))
     if not large.isEmpty():
         pairs = pairs.union(_large_groups(large.join(sketches, "cid"), threshold, tile))
     return pairs.distinct()
 
 
-def _pairs(x: np.ndarray) -> pa.RecordBatch:
-    return pa.record_batch([pa.array(x[:, 0]), pa.array(x[:, 1])], names=["a", "b"])
+def _families(found: DataFrame) -> DataFrame:
+    """``found`` with ``f``, the family that a pair is verified in: classes that are near one another mostly share the same nearest smallest id.
+
+    A set is then sent about once, not once a pair.  A family of more than TOGETHER elements is verified pair by pair.
+    """
+    ends = found.select(F.explode(F.array(F.struct(F.col("a").alias("c"), F.col("b").alias("o")), F.struct(F.col("b").alias("c"), F.col("a").alias("o")))).alias("e"))
+    least = save(ends.groupBy("e.c").agg(F.least(F.min("e.o"), F.first("e.c")).alias("least"), F.count("*").alias("_n")), "least")
+    for x in "ab":
+        found = join_counted(found, least.select(F.col("c").alias(x), F.col("least").alias(f"least_{x}"), "_n"), x)
+    found = save(found.select("a", "b", "na", "nb", F.least("least_a", "least_b").alias("f")), "families")
+    classes = found.select("f", F.explode(F.array(F.struct(F.col("a").alias("c"), F.col("na").alias("n")), F.struct(F.col("b").alias("c"), F.col("nb").alias("n")))).alias("e"))
+    total = classes.distinct().groupBy("f").agg(F.sum("e.n").alias("total"))
+    size = save(total.join(found.groupBy("f").agg(F.count("*").alias("_n")), "f"), "sizes")
+    return join_counted(found, size, "f").select("a", "b", F.when(F.col("total") <= TOGETHER, F.col("f")).otherwise(F.xxhash64("a", "b")).alias("f"))
 
 
 BLOOM = 1 << 24
@@ -493,18 +531,26 @@ def _unpack(blob: bytes) -> np.ndarray:
 
 
 def _verify(threshold: float):
+    """Task over (f, a, b, runs) in order of f: first the sets of the classes ``a`` (b is null), then the pairs to verify."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            keep, share = [], []
-            for i, (x, y) in enumerate(zip(b.column(2).to_pylist(), b.column(3).to_pylist())):
-                x, y = _unpack(x), _unpack(y)
+        now, sets = None, {}
+        for batch in batches:
+            out = []
+            for f, a, b, runs in zip(*(c.to_pylist() for c in batch.columns)):
+                if f != now:
+                    now, sets = f, {}
+                if b is None:
+                    sets[a] = _unpack(runs)
+                    continue
+                x, y = sets[a], sets[b]
                 both = np.sort(np.concatenate((x, y)))
                 both = int((both[1:] == both[:-1]).sum())
                 j = both / (len(x) + len(y) - both)
                 if j >= threshold - 1e-12:
-                    keep.append(i)
-                    share.append(j)
-            yield pa.record_batch([b.column(0).take(pa.array(keep, pa.int64())), b.column(1).take(pa.array(keep, pa.int64())), pa.array(share, pa.float64())], names=["a", "b", "similarity"])
+                    out.append((a, b, j))
+            a, b, j = zip(*out) if out else ((), (), ())
+            yield pa.record_batch([pa.array(a, pa.int64()), pa.array(b, pa.int64()), pa.array(j, pa.float64())], names=["a", "b", "similarity"])
 
     return run
 
@@ -531,16 +577,15 @@ def class_pairs(df: DataFrame, id_col: str, text_col: str, threshold: float = 0.
     texts = rows.select("text")
     keys = texts.mapInArrow(_emit(k, min_words, threshold, levels, buckets, parts, most), "part int, bucket bigint, hot boolean, blob binary")
     keys = keys.repartitionById(parts, F.col("part")).sortWithinPartitions("bucket", "hot")
-    groups = save(keys.mapInArrow(_group(most, bucket_bytes), _GROUPS), "groups")
+    groups = save(keys.mapInArrow(_group(threshold, most, bucket_bytes), _GROUPS), "groups")
     found = save(_candidates(groups, sketches, threshold, tile), "candidates")
-    bloom = spark.sparkContext.broadcast(_bloom(found))
+    bloom = spark.sparkContext.broadcast(_bloom(found.select("a", "b")))
     sets = texts.mapInArrow(_arrays(k, min_words, bloom), "cid bigint, runs binary").groupBy("cid").agg(F.first("runs").alias("runs"))
-    pairs = (
-        found.join(sets.select(F.col("cid").alias("a"), F.col("runs").alias("x")), "a")
-        .join(sets.select(F.col("cid").alias("b"), F.col("runs").alias("y")), "b")
-        .select("a", "b", "x", "y")
-        .mapInArrow(_verify(threshold), "a bigint, b bigint, similarity double")
-    )
+    found = save(_families(found), "found")
+    need = found.select("f", F.explode(F.array("a", "b")).alias("cid")).distinct()
+    need = need.join(sets, "cid").select("f", F.col("cid").alias("a"), F.lit(None).cast("bigint").alias("b"), "runs")
+    ask = found.select("f", "a", "b", F.lit(None).cast("binary").alias("runs"))
+    pairs = need.union(ask).repartition("f").sortWithinPartitions("f", F.col("b").asc_nulls_first()).mapInArrow(_verify(threshold), "a bigint, b bigint, similarity double")
     return members, pairs
 
 
