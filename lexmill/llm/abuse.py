@@ -13,6 +13,10 @@ abusive, and others it is sure of.  Texts in which it finds nothing are set asid
 model is trained on all segments so chosen and those of the texts that aren't abusive.
 Features of few texts are left at zero, so that the invented and rare words of a text aren't learnt by heart.
 
+Labels are few beside texts.  Up to ``PER_CLASS`` labelled texts of each kind are used.  What is missing to ``FILL`` comes from the
+other texts: of those in which the model finds abuse it is sure of, the worst segment; of a sample in which it finds
+none, the text.  The model is then trained anew, ``ROUNDS`` times.
+
 For scoring, embeddings and softmax collapse to one number per feature, so a text costs a few lookups per character.
 
 Nulls: a row with a null id or text has no score; an empty text scores 0.
@@ -30,16 +34,20 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lexmill.llm import vec
+from lexmill.scratch import save
 
 BITS = 18
 ORDERS = (3, 4)
 SPAN = 10
 SMOOTH = 6  # added to a segment's number of features, so that a few words alone don't decide
-LEAST_TEXTS = 6  # a feature of fewer labelled texts learns nothing
+LEAST_SHARE = 0.004  # a feature of fewer texts than this share of the abusive ones, or of one text only, learns nothing
 DIM = 4
 PER_CLASS = (2000, 5000)  # labelled texts used at most, abusive and not, by hash
-RARITY = 8  # how much rarer abuse is in the texts than among the labelled; for the threshold
-NEGATIVE_SEGMENTS = 0.3  # share used of the segments of texts that aren't abusive
+FILL = (1000, 1500)  # texts of each kind that are wanted; others fill up to them, by hash
+MOST_CHARS = 30_000_000  # of the texts of one kind
+ROUNDS = 2
+SURE, CALM = 0.5, 0.2  # scores from which, and up to which, a text without label counts as abusive, or not
+HELD_POSITIVES = 100  # held-out abusive texts needed to choose a threshold; with fewer it is 0.5
 ENDS = np.array([ord(c) for c in ".!?。！？\n"], np.uint32)
 U32 = np.uint32
 
@@ -92,8 +100,8 @@ class Model:
     bias: float
     threshold: float
 
-    def scores(self, texts: list[str]) -> np.ndarray:
-        out = np.zeros(len(texts))
+    def segment_scores(self, texts: list[str]) -> Iterator[tuple[int, int, vec.Words, np.ndarray, np.ndarray, np.ndarray]]:
+        """By block with segments: first text and the one after the last, words, first word and the one after the last of each segment, and its logit."""
         for lo, hi in vec.blocks(texts):
             w = vec.words(texts[lo:hi])
             sentence, a, b = _segments(w)
@@ -107,13 +115,27 @@ class Model:
                 total += run[q] - run[p]
                 count = count + (q - p)
             total, count = (np.concatenate(([0], np.cumsum(x))) for x in (total, count))
-            logit = (total[b] - total[a]) / (count[b] - count[a] + SMOOTH) + self.bias
+            yield lo, hi, w, a, b, (total[b] - total[a]) / (count[b] - count[a] + SMOOTH) + self.bias
+
+    def scores(self, texts: list[str]) -> np.ndarray:
+        out = np.zeros(len(texts))
+        for lo, hi, w, a, _, logit in self.segment_scores(texts):
             best = np.full(hi - lo, -np.inf)
             np.maximum.at(best, w.doc[a], logit)
             out[lo:hi] = 1 / (1 + np.exp(-np.clip(best, -50, 50)))
             out[lo:hi][np.isinf(best)] = 0
         return out
 
+    def worst(self, texts: list[str], score: float) -> list[str | None]:
+        """Of each text with a segment of at least this score, the worst segment."""
+        out: list[str | None] = [None] * len(texts)
+        for lo, _, w, a, b, logit in self.segment_scores(texts):
+            order = np.lexsort((logit, w.doc[a]))
+            last = order[np.append(w.doc[a][order][1:] != w.doc[a][order][:-1], True)]
+            for i in last[logit[last] >= np.log(score / (1 - score))]:
+                out[lo + w.doc[a[i]]] = w.cp[w.start[a[i]] : w.end[b[i] - 1]].tobytes().decode("utf-32-le", "surrogatepass")
+        return out
+
 
 def _features(texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(features of all segments in a row; number of features of each segment; text of each segment)."""
@@ -194,18 +216,25 @@ class _Trainer:
         return ((self.w[:, 1] - self.w[:, 0]) @ self.e).astype(np.float32), float(self.b[1] - self.b[0])
 
 
-def train(texts: list[str], positive: np.ndarray, votes: np.ndarray, seed: int = 7) -> Model:
-    """``positive``: raters who found the text abusive, of ``votes``.  A fifth of the texts is held out to set the threshold."""
+def train(texts: list[str], positive: np.ndarray, votes: np.ndarray, sure: list[str] = (), calm: list[str] = (), rarity: float = 1.0, seed: int = 7) -> Model:
+    """``positive``: raters who found the text abusive, of ``votes``.  ``sure`` and ``calm``: abusive segments, and texts without abuse, by an earlier model.
+
+    With enough labelled texts, a fifth of them is held out to set the threshold.  ``rarity``: how much rarer abuse is in all texts than among the labelled.
+    """
+    labelled = len(texts)
+    texts = [*texts, *sure, *calm]
+    positive = np.concatenate((positive, np.full(len(sure), 2), np.zeros(len(calm), np.int64)))
+    votes = np.concatenate((votes, np.full(len(sure), 2), np.ones(len(calm), np.int64)))
     rng = np.random.default_rng(seed)
     label = 2 * positive > votes
     sure = np.abs(2 * positive - votes) / np.maximum(votes, 1)
     single = votes < 2
-    held = rng.random(len(texts)) < 0.2
+    held = (rng.random(len(texts)) < 0.2) & (np.arange(len(texts)) < labelled) & (label[:labelled].sum() >= 5 * HELD_POSITIVES)
     feats, size, doc = _features(texts)
     if not len(size) or not label.any() or label.all():
         return Model(np.zeros(1 << BITS, np.float32), -10.0, 0.5)
     pairs = np.unique(np.repeat(doc, size) << BITS | feats)
-    known = np.bincount(pairs & ((1 << BITS) - 1), minlength=1 << BITS) >= LEAST_TEXTS
+    known = np.bincount(pairs & ((1 << BITS) - 1), minlength=1 << BITS) >= max(2, round(LEAST_SHARE * label.sum()))
     mask = known[feats]
     used = np.add.reduceat(mask, np.concatenate(([0], np.cumsum(size)[:-1])), dtype=np.int64)
     feats = feats[mask]
@@ -214,8 +243,6 @@ def train(texts: list[str], positive: np.ndarray, votes: np.ndarray, seed: int =
     count = np.bincount(doc, minlength=len(texts))
     y = label[doc].astype(np.int64)
     base = np.where(held, 0, np.maximum(sure, 0.1) * np.where(single, 0.6, 1.0))[doc]
-    every = base
-    base = base * ((y == 1) | (rng.random(len(doc)) < NEGATIVE_SEGMENTS))
     half = rng.random(len(texts)) < 0.5
 
     def fitted(weight: np.ndarray, epochs: int, t: _Trainer | None = None) -> tuple[np.ndarray, float]:
@@ -243,13 +270,13 @@ def train(texts: list[str], positive: np.ndarray, votes: np.ndarray, seed: int =
     for epochs in (6, 4):  # the second time with the negative segments that the first took for abusive
         table, bias = fitted(weight, epochs, final)
         logit = np.bincount(owner, weights=table[feats], minlength=len(size)) / size + bias
-        weight = np.where((y == 0) & (logit > -2.0) & ~contradicted[doc], every, weight)
+        weight = np.where((y == 0) & (logit > -2.0) & ~contradicted[doc], 2 * base, weight)
     model = Model(table, bias, 0.5)
     check = np.flatnonzero(held & (votes >= 2) & (sure > 0.99))
-    if label[check].sum() >= 10:
+    if label[check].sum() >= HELD_POSITIVES // 2:
         s, truth = model.scores([texts[i] for i in check]), label[check]
         steps = np.linspace(0.2, 0.95, 31)
-        f1 = [2 * ((s >= x) & truth).sum() / max(((s >= x) * np.where(truth, 1, RARITY)).sum() + truth.sum(), 1) for x in steps]
+        f1 = [2 * ((s >= x) & truth).sum() / max(((s >= x) * np.where(truth, 1, rarity)).sum() + truth.sum(), 1) for x in steps]
         best = np.flatnonzero(np.array(f1) >= max(f1) - 1e-9)
         model.threshold = float(steps[best[np.argmin(np.abs(steps[best] - 0.5))]])
     return model
@@ -261,15 +288,54 @@ def votes(labels: DataFrame, id_col: str, rater: str, label: str, positive: tupl
     return rows.groupBy("id").agg(F.sum("bad").alias("positive"), F.count("*").alias("votes"))
 
 
-def fit(texts: DataFrame, id_col: str, text_col: str, voted: DataFrame, per_class: tuple[int, int] = PER_CLASS) -> Model:
-    """Train on at most ``per_class`` labelled texts, abusive and not, those with the smallest hash of the id."""
-    pick = []
-    for bad, most in zip((True, False), per_class):
-        rows = voted.where((2 * F.col("positive") > F.col("votes")) == F.lit(bad))
-        pick.append(rows.orderBy(F.xxhash64("id"), "id").limit(most))
-    few = pick[0].union(pick[1])
-    got = texts.select(F.col(id_col).cast("bigint").alias("id"), F.col(text_col).alias("text")).where("text IS NOT NULL").join(F.broadcast(few), "id").dropDuplicates(["id"]).orderBy("id").toPandas()
-    return train(got["text"].tolist(), got["positive"].to_numpy(np.int64), got["votes"].to_numpy(np.int64))
+def _pick(rows: DataFrame, most: int) -> DataFrame:
+    """Of rows (id, chars), those with the smallest hash of the id: at most ``most``, and MOST_CHARS characters together."""
+    picked = rows.orderBy(F.xxhash64("id"), "id").limit(most).toPandas()
+    ids = picked["id"][picked["chars"].cumsum() <= MOST_CHARS]
+    return rows.sparkSession.createDataFrame([(int(i),) for i in ids], "id bigint")
+
+
+def _named(model):
+    """Task over (id, text): the worst segment of the texts in which the model is sure to find abuse."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            worst = pa.array(model.value.worst(b.column(1).to_pylist(), SURE), pa.string())
+            yield pa.record_batch([b.column(0), worst], names=["id", "segment"]).filter(worst.is_valid())
+
+    return run
+
+
+def fit(texts: DataFrame, id_col: str, text_col: str, voted: DataFrame, per_class: tuple[int, int] = PER_CLASS, fill: tuple[int, int] = FILL) -> Model:
+    """Train on at most ``per_class`` labelled texts, abusive and not, and on other texts where these are fewer than ``fill``.
+
+    All are those with the smallest hash of the id, and those of a kind have at most MOST_CHARS characters; only they go to the driver.
+    With fewer abusive labelled texts than ``fill``, all texts are read again in each round, to find more.
+    """
+    spark = texts.sparkSession
+    rows = texts.select(F.col(id_col).cast("bigint").alias("id"), F.col(text_col).alias("text")).where("id IS NOT NULL AND text IS NOT NULL")
+    voted = save(voted, "voted")
+    sizes = save(rows.groupBy("id").agg(F.max(F.length("text")).alias("chars")).join(voted, "id", "left"), "lengths")
+    bad = 2 * F.col("positive") > F.col("votes")
+    parts = [_pick(sizes.where(kind).select("id", "chars"), most) for kind, most in ((bad, per_class[0]), (~bad, per_class[1]), (F.col("votes").isNull(), fill[1]))]
+    want = parts[0].union(parts[1]).union(parts[2]).join(voted, "id", "left")
+    got = rows.join(F.broadcast(want), "id").groupBy("id").agg(F.min("text").alias("text"), F.first("positive").alias("positive"), F.first("votes").alias("votes")).orderBy("id").toPandas()
+    own = got["votes"].notna().to_numpy()
+    named, positive, votes = got["text"][own].tolist(), got["positive"][own].to_numpy(np.int64), got["votes"][own].to_numpy(np.int64)
+    other = got["text"][~own].tolist()
+    n_bad = int((2 * positive > votes).sum())
+    model = train(named, positive, votes)
+    free = rows.join(voted.select("id"), "id", "left_anti")
+    for _ in range(ROUNDS if 0 < n_bad < fill[0] else 0):
+        found = free.mapInArrow(_named(spark.sparkContext.broadcast(model)), "id bigint, segment string").orderBy(F.xxhash64("id"), "id", "segment")
+        sure = [r["segment"] for r in found.limit(fill[0] - n_bad).collect()]
+        if not sure:
+            break
+        score = model.scores(other)
+        calm = [other[i] for i in np.flatnonzero(score <= CALM)[: max(fill[1] - (len(named) - n_bad), 0)]]
+        rarity = n_bad / max(len(named) - n_bad, 1) * (score < 0.5).sum() / max((score >= 0.5).sum(), 1)
+        model = train(named, positive, votes, sure, calm, max(rarity, 1.0))
+    return model
 
 
 def _score(model):
