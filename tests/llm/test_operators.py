@@ -1,8 +1,10 @@
 """The training-data operators against brute force, on small tables with nulls, ties, copies and hot groups."""
 
 import collections
+import functools
 import random
 import re
+import time
 import types
 
 import numpy as np
@@ -62,6 +64,14 @@ def test_top_n(spark):
         top_n.top_n(df, "g", "item", "s", 0)
 
 
+def test_trim_sends_what_it_holds_where_groups_are_small(monkeypatch):
+    """With groups smaller than n nothing can be trimmed: a task still holds a fixed number of rows; bounds stay valid."""
+    monkeypatch.setattr(top_n, "HELD_ROWS", 100)
+    batches = [pa.record_batch([pa.array([i * 10 + j // 2 for j in range(20)]), pa.array([f"w{j}" for j in range(20)]), pa.array([1.0 * j for j in range(20)])], names=["grp", "item", "score"]) for i in range(50)]
+    out = list(top_n._trim(3)(iter(batches)))
+    assert sum(b.num_rows for b in out) == 1000 and max(b.num_rows for b in out) <= 120 and not any(x for b in out for x in b.column(3).to_pylist())
+
+
 # ---- 2: frequent items
 
 
@@ -81,6 +91,7 @@ def test_frequent_items_are_whole_in_a_narrow_sketch(spark):
         out = frequent.frequent_items(df, "k", "items", 0.01, 10, width).collect()
         assert {(r.k, r.item, r.n) for r in out} == want
         assert all(r.lower <= r.n <= r.upper for r in out if r.lower is not None)
+    assert {(r.k, r.item, r.n) for r in frequent.frequent_items(df, "k", "items", 0.01, 10, most_keys=2).collect()} == want  # more keys than the sketch is for
     assert frequent.frequent_items(df.limit(0), "k", "items", 0.01).count() == 0
 
 
@@ -170,7 +181,7 @@ def test_tile_pairs_are_skipped_on_the_test_data(spark):
     batches = [pa.record_batch([pa.array(texts[i : i + 5000], pa.string())], names=["text"]) for i in range(0, len(texts), 5000)]
     levels = types.SimpleNamespace(value=np.zeros(2 * near_duplicates.CELLS, np.uint8))
     records = near_duplicates._emit(3, 20, 0.7, levels, 1, 1, near_duplicates.HOT)(iter(batches))
-    groups = pa.Table.from_batches(list(near_duplicates._group(near_duplicates.HOT, near_duplicates.BUCKET_BYTES)(records)))
+    groups = pa.Table.from_batches(list(near_duplicates._group(0.7, near_duplicates.HOT, near_duplicates.BUCKET_BYTES)(records)))
     assert not any(groups["large"].to_pylist())
     sketch = {}
     for _, doc, runs, n, cid in near_duplicates._sets(texts, 3, 20):
@@ -211,9 +222,9 @@ def test_verification_tells_runs_apart_that_share_32_bits(monkeypatch):
     everything = types.SimpleNamespace(value=np.full(near_duplicates.BLOOM // 8, 255, np.uint8))
     (sets,) = near_duplicates._arrays(5, 0, everything)([pa.record_batch([pa.array(["", ""])], names=["text"])])
     x, y = sets.column("runs")
-    pairs = pa.record_batch([pa.array([7, 7]), pa.array([8, 7]), pa.array([x, x]), pa.array([y, x])], names=["a", "b", "x", "y"])
-    (got,) = near_duplicates._verify(0.8)([pairs])
-    assert got.to_pylist() == [{"a": 7, "b": 7, "similarity": 1.0}]
+    rows = [(1, 7, None, x), (1, 8, None, y), (1, 7, 8, None), (2, 7, None, x), (2, 9, None, x), (2, 7, 9, None)]
+    (got,) = near_duplicates._verify(0.8)([pa.record_batch([pa.array(c, t) for c, t in zip(zip(*rows), (pa.int64(), pa.int64(), pa.int64(), pa.binary()))], names=["f", "a", "b", "runs"])])
+    assert got.to_pylist() == [{"a": 7, "b": 9, "similarity": 1.0}]
 
 
 def test_groups_hold_short_texts(spark):
@@ -397,11 +408,73 @@ def test_short_items_are_found_whole(spark):
 def test_overlap_bridges_substitutions():
     x = np.arange(40, dtype=np.uint64)
     y = x.copy()
+    at = lambda y: leaks.overlaps((x == y)[None, :])
     y[[10, 20]] = 999
-    assert leaks.overlap(x, y) == (19, 38)
+    assert at(y) == (19, 38)
     y[11] = 999
-    assert leaks.overlap(x, y) == (19, 27)
-    assert leaks.overlap(x, x + np.uint64(100)) == (0, 0)
+    assert at(y) == (19, 27)
+    assert at(x + np.uint64(100)) == (0, 0) and at(x) == (40, 40)
+    rng = np.random.default_rng(3)
+    for _ in range(200):  # several rows together are the best of each
+        same = rng.random((3, 12)) < rng.choice([0.3, 0.7, 0.9])
+
+        def around(row):
+            best = 0
+            for i in range(12):
+                for j in range(i, 12):
+                    miss = [k for k in range(i, j + 1) if not row[k]]
+                    if all(b - a > leaks.GAP for a, b in zip(miss, miss[1:])):
+                        best = max(best, j - i + 1 - len(miss))
+            return best
+
+        longest = lambda row: max(len(p) for p in "".join("x" if v else " " for v in row).split(" "))
+        assert leaks.overlaps(same) == (max(map(longest, same)), max(map(around, same)))
+
+
+def test_diagonals_of_repeated_words():
+    rng = np.random.default_rng(4)
+    for n, m, kinds in ((50, 20, 1), (400, 90, 2), (3000, 500, 1), (60, 60, 40)):
+        seed, item_seed = rng.integers(0, kinds, n).astype(np.uint64), rng.integers(0, kinds, m).astype(np.uint64)
+        want = sorted({i - j for k in range(kinds) for i in np.flatnonzero(seed == k).tolist() for j in np.flatnonzero(item_seed == k).tolist()})
+        assert leaks.diagonals(np.arange(n), seed, np.arange(m), item_seed).tolist() == want
+
+
+def test_time_grows_in_proportion_for_a_repeated_word():
+    item = np.full(14, 7, np.uint64)
+
+    def seconds(n):
+        began = time.perf_counter()
+        shifts = leaks.diagonals(np.arange(n), np.zeros(n, np.uint64), np.arange(3), np.zeros(3, np.uint64))
+        assert leaks.compare(np.full(n, 7, np.uint64), item, shifts) == (14, 14)
+        return time.perf_counter() - began
+
+    seconds(1000)
+    assert seconds(800_000) < 12 * min(seconds(100_000) for _ in range(3)) + 1
+
+
+def test_substituted_passages_are_found(spark):
+    """Passages with a word replaced every 6 to 9 words share no run of 12, but are found by the spaced seeds."""
+    rng = random.Random(12)
+    text = lambda n: " ".join(f"w{rng.randrange(5000)}" for _ in range(n))
+    items = [(i, text(60)) for i in range(60)]
+    docs = []
+    for i, t in items:
+        w = t.split()
+        at = rng.randrange(3)
+        while at < len(w):
+            w[at] = "changed"
+            at += rng.randrange(7, 11)
+        docs.append((i, f"{text(30)} {' '.join(w)} {text(30)}"))
+    out = leaks.leaks(spark.createDataFrame(docs, "i bigint, t string"), "i", "t", spark.createDataFrame(items, "item bigint, x string"), "item", "x").collect()
+    assert all(r.exact_run < 12 for r in out)
+    assert sum(r.id == r["item"] and r.overlap >= 45 for r in out) >= 0.95 * len(items)
+
+
+def test_many_items_are_found_in_several_scans(spark):
+    items = [(i, " ".join(f"w{i}x{j}" for j in range(30))) for i in range(20)]
+    docs = spark.createDataFrame([(i, f"before {t} after") for i, t in items], "i bigint, t string")
+    out = leaks.leaks(docs, "i", "t", spark.createDataFrame(items, "item bigint, x string"), "item", "x", seeds_a_scan=300)
+    assert {(r.id, r["item"], r.exact_run) for r in out.collect()} == {(i, i, 30) for i in range(20)}
 
 
 def test_masks_are_no_longer_than_the_run():
@@ -434,6 +507,19 @@ def test_mixing_reaches_shares(spark):
     assert mixing.mix(texts.limit(0), mixing.plan(texts.limit(0), targets)).count() == 0
 
 
+def test_each_text_is_used_as_often_as_expected(spark):
+    """Over many seeds, every text's copies come to its expected number, whatever its size; floor or ceiling each time."""
+    rng = random.Random(13)
+    texts = spark.createDataFrame([(i, "a", rng.getrandbits(60), rng.choice([1, 1, 5, 40, 900])) for i in range(60)], "id bigint, source string, h1 bigint, tokens bigint").cache()
+    entries = [{"source": "a", "target_share": 1.0, "max_repeat": 2, "texts": 60, "tokens": 1, "copies": 1.3}]
+    used, seeds = collections.Counter(), 60
+    runs = [mixing.mix(texts, entries, seed).select("id", "copies") for seed in range(seeds)]
+    for r in functools.reduce(lambda a, b: a.union(b), runs).collect():
+        assert r.copies in (1, 2)
+        used[r.id] += r.copies
+    assert all(abs(used[i] / seeds - 1.3) < 0.25 for i in range(60)) and abs(sum(used.values()) / seeds / 60 - 1.3) < 0.01
+
+
 def test_no_text_is_used_under_two_ids(spark):
     df = spark.createDataFrame([(i, "same text", "a") for i in range(50)] + [(99, "other text", "a")], "i bigint, t string, s string")
     assert {r.id for r in mixing.sized(df, "i", "t", "s").collect()} == {0, 99}
@@ -449,7 +535,7 @@ def test_a_text_is_kept_for_its_targeted_source(spark, tmp_path):
 
 
 def test_tokenizer_splits_and_joins():
-    e = mixing.tokenizer(mixing.TOKENIZER)
+    e = mixing.tokenizer(mixing.vocabulary())
     assert e.decode(e.encode_ordinary("Żółw <|endoftext|> 中文")) == "Żółw <|endoftext|> 中文"
 
 
@@ -467,12 +553,16 @@ def test_round_trips(read_as):
         assert n
 
 
+def garble(t, layers):
+    for _ in range(layers):
+        t = "".join(bytes([b]).decode("cp1252", "ignore") or chr(b) for b in t.encode())
+    return t
+
+
 def test_nested_layers():
     for t in PLAIN:
-        bad = t
-        for _ in range(2):
-            bad = "".join(bytes([b]).decode("cp1252", "ignore") or chr(b) for b in bad.encode())
-        assert encodings.repair(bad)[0] == t
+        assert encodings.repair(garble(t, 2))[0] == t
+    assert encodings.repair(garble("Größe naïve café", 6))[0] == "Größe naïve café"
 
 
 def test_other_encodings_meant():
