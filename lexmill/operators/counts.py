@@ -9,6 +9,10 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from lexmill.functions import columns as C
+from lexmill.scratch import save
+
+#: Document frequencies of up to this many words, the most frequent ones, are broadcast: some megabytes.
+HOT_WORDS = 100_000
 
 
 def page_terms(tokens: DataFrame) -> DataFrame:
@@ -16,6 +20,12 @@ def page_terms(tokens: DataFrame) -> DataFrame:
     return tokens.groupBy("lang", "page_id", "topic_id", "term").agg(F.count("*").alias("abs"))
 
 
+def first_terms(tokens: DataFrame) -> DataFrame:
+    """Page terms with ``first``, the place of a term's first token in its page; ``tokens`` has ts, rev_id and pos. For stems: no table of tokens is needed."""
+    place = F.struct(F.coalesce("ts", F.lit("0001-01-01").cast("timestamp")).alias("ts"), "rev_id", "pos")
+    return tokens.groupBy("lang", "page_id", "topic_id", "term").agg(F.count("*").alias("abs"), F.min(place).alias("first"))
+
+
 def normalised_terms(pages: DataFrame) -> DataFrame:
     """Page terms of pages with token arrays, each page once; null tokens don't count. Pages without an id are told apart by content."""
     pages = pages.select("lang", "page_id", "topic_id", F.flatten(F.filter(F.col("revision.text"), lambda x: x.isNotNull())).alias("tokens"))
@@ -28,8 +38,8 @@ def page_totals(terms: DataFrame) -> DataFrame:
 
 
 def with_total(terms: DataFrame) -> DataFrame:
-    """``tot`` beside every term. A page's terms lie together already, so this needs no further exchange."""
-    return terms.withColumn("tot", F.sum("abs").over(Window.partitionBy("lang", "page_id")))
+    """``tot`` beside every term. Before page terms are saved, a page's lie together and this needs no further exchange; save them with it."""
+    return terms if "tot" in terms.columns else terms.withColumn("tot", F.sum("abs").over(Window.partitionBy("lang", "page_id")))
 
 
 def global_words(terms: DataFrame) -> DataFrame:
@@ -43,16 +53,24 @@ def corpus_totals(terms: DataFrame) -> DataFrame:
 
 
 def tfidf(terms: DataFrame, words: DataFrame | None = None, totals: DataFrame | None = None) -> DataFrame:
-    """Terms with tot, df, tf, idf and tfidf.
+    """Terms with tot, df, tf, idf and tfidf; ``terms`` and ``words`` saved.
 
-    Totals are one row per language and broadcast.  Document frequencies are joined: both sides
-    are pre-aggregated, and a term is on no more than one row per page.
+    Totals are one row per language and broadcast.  So are the frequencies of the HOT_WORDS most frequent words, which
+    most rows are of; only rows of rarer words are sent to be joined, and no word has many of those.
     """
-    words = global_words(terms) if words is None else words
+    words = save(global_words(terms), "words") if words is None else words
     totals = corpus_totals(terms) if totals is None else totals
     df = words.select("lang", "term", F.col("i").alias("df"))
     n = F.broadcast(totals.select("lang", "total_page"))
-    out = with_total(terms).join(df, ["lang", "term"]).join(n, "lang")
+    terms = with_total(terms)
+    least = words.select("i").orderBy(F.col("i").desc()).limit(HOT_WORDS + 1).agg(F.count("*").alias("n"), F.min("i").alias("i")).first()
+    if least["n"] <= HOT_WORDS:
+        known = terms.join(F.broadcast(df), ["lang", "term"])
+    else:  # fewer than HOT_WORDS words are in more pages than this
+        both = terms.join(F.broadcast(df.where(F.col("df") > least["i"])), ["lang", "term"], "left")
+        rare = both.where("df IS NULL").drop("df").join(df.where(F.col("df") <= least["i"]), ["lang", "term"])
+        known = both.where("df IS NOT NULL").unionByName(rare)
+    out = known.join(n, "lang")
     return out.select(
         "lang", "page_id", "topic_id", "term", "abs", "tot", "df",
         C.tf(F.col("abs"), F.col("tot")).alias("tf"), C.idf(F.col("total_page"), F.col("df")).alias("idf"),

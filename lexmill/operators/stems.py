@@ -1,17 +1,18 @@
 """Stems and the way back to readable words.
 
 Stemmers run over distinct terms, not tokens, and are joined back.  ``suffix_stem`` is a plain
-expression; ``swedish_stem`` follows the published Snowball description.
+expression; those of single languages are in ``functions.stemmers``.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lexmill import config
+from lexmill.functions.stemmers import STEMMERS
 
 
 def suffix_stem(word: Column) -> Column:
@@ -26,36 +27,6 @@ def suffix_stem(word: Column) -> Column:
 SUFFIX_STEM_SQL = """CASE WHEN length({w}) <= 3 THEN {w} WHEN regexp_matches({w}, 'ies$') AND NOT regexp_matches({w}, '[ae]ies$') THEN left({w}, length({w}) - 3) || 'y'
 WHEN regexp_matches({w}, 'es$') AND NOT regexp_matches({w}, '[aeo]es$') THEN left({w}, length({w}) - 1) WHEN regexp_matches({w}, 's$') AND NOT regexp_matches({w}, '[us]s$') THEN left({w}, length({w}) - 1) ELSE {w} END"""
 
-# Fixed values of the Swedish stemmer.
-_SV_VOWELS = "aeiouyäåö"
-_SV_STEP1 = sorted(("a arna erna heterna orna ad e ade ande arne are aste en anden aren heten ern ar er heter or as arnas ernas ornas es ades andes ens arens hetens erns at andet het ast").split(), key=len, reverse=True)
-_SV_S_AFTER = "bcdfghjklmnoprtvy"
-_SV_STEP2 = ("dd", "gd", "nn", "dt", "gt", "kt", "tt")
-
-
-def swedish_stem(word: str) -> str:
-    region = len(word)
-    for i in range(1, len(word)):
-        if word[i] not in _SV_VOWELS and word[i - 1] in _SV_VOWELS:
-            region = max(i + 1, 3)
-            break
-
-    def ends(suffix: str) -> bool:
-        return word.endswith(suffix) and len(word) - len(suffix) >= region
-
-    found = next((s for s in _SV_STEP1 if ends(s)), "")
-    if found:
-        word = word[: -len(found)]
-    elif ends("s") and len(word) > 1 and word[-2] in _SV_S_AFTER:
-        word = word[:-1]
-    if any(ends(s) for s in _SV_STEP2):
-        word = word[:-1]
-    if ends("fullt") or ends("löst"):
-        return word[:-1]
-    last = next((s for s in ("lig", "els", "ig") if ends(s)), "")
-    return word[: len(word) - len(last)]
-
-
 def stem_terms(terms: DataFrame, stem: Callable[[Column], Column] | Callable[[str], str] = suffix_stem, term: str = "term") -> DataFrame:
     """``terms`` with ``stem``. A Python function is applied by Arrow batches to distinct terms."""
     if stem is suffix_stem:
@@ -70,17 +41,36 @@ def stem_terms(terms: DataFrame, stem: Callable[[Column], Column] | Callable[[st
     return terms.join(each, term)
 
 
-def stem_by_language(terms: DataFrame) -> DataFrame:
-    """``terms``, saved, with ``stem``: Swedish terms by the Swedish stemmer, those of all other languages by the suffix stemmer."""
-    own = [lang for lang in ("sv",) if config.stemmer(lang) == "snowball"]
-    swedish = F.coalesce(F.col("lang").isin(own), F.lit(False))
-    return stem_terms(terms.where(~swedish)).unionByName(stem_terms(terms.where(swedish), swedish_stem))
+def stem_by_language(terms: DataFrame, suffixes: bool = False) -> DataFrame:
+    """``terms``, saved, with ``stem``: each language's terms by the stemmer that ``config.stemmer`` gives it.
+
+    Terms of languages that have none stay as they are, as those of lemmatised languages do; with
+    ``suffixes`` they go through the suffix stemmer.  The stemmers see each distinct term once.
+    """
+    own = [lang for lang in STEMMERS if config.stemmer(lang)]
+    special = F.coalesce(F.col("lang").isin(own), F.lit(False))
+    rest = terms.where(~special).withColumn("stem", suffix_stem(F.col("term")) if suffixes else F.col("term"))
+
+    def run(batches):
+        for pdf in batches:
+            yield pdf.assign(stem=[STEMMERS[lang](w) for lang, w in zip(pdf["lang"], pdf["term"])])
+
+    each = terms.where(special).select("lang", "term").distinct().mapInPandas(run, "lang string, term string, stem string")
+    return rest.unionByName(terms.where(special).join(each, ["lang", "term"]))
+
 
+def page_reverse(terms: DataFrame) -> DataFrame:
+    """Per page and stem the shortest surface form in code points; of equals, the first in the page.
 
-def page_reverse(tokens: DataFrame) -> DataFrame:
-    """Per page and stem the shortest surface form in code points; of equals, the first in the page. ``tokens`` has ts, rev_id, pos, term, stem."""
-    first = F.struct(F.length("term"), F.coalesce("ts", F.lit("0001-01-01").cast("timestamp")), "rev_id", "pos")
-    return tokens.groupBy("lang", "page_id", "stem").agg(F.min_by("term", first).alias("surface"))
+    ``terms`` are page terms with ``stem`` and ``first`` (see ``counts.first_terms``), or tokens with ts, rev_id, pos, term, stem.
+    """
+    place = F.col("first") if "first" in terms.columns else F.struct(F.coalesce("ts", F.lit("0001-01-01").cast("timestamp")), "rev_id", "pos")
+    return terms.groupBy("lang", "page_id", "stem").agg(F.min_by("term", F.struct(F.length("term"), place)).alias("surface"))
+
+
+def stemmed_page_terms(terms: DataFrame) -> DataFrame:
+    """Page terms by stem, from page terms with ``stem``."""
+    return terms.groupBy("lang", "page_id", "topic_id", F.col("stem").alias("term")).agg(F.sum("abs").alias("abs"))
 
 
 def global_reverse(pages: DataFrame) -> DataFrame:
@@ -102,8 +92,3 @@ def destem_lossy(words: DataFrame, reverse: DataFrame) -> DataFrame:
     has = reverse.select("lang", F.col("stem").alias("term"), F.lit(True).alias("_renamed"))
     out = out.join(has, ["lang", "term"], "left")
     return out.where(F.col("_renamed").isNull() | F.col("_is_key").isNull() | (F.col("surface") < F.col("term"))).drop("_is_key", "_renamed")
-
-
-def reverse_is_injective(reverse: DataFrame) -> Column:
-    """Whether a surface stands for one stem only."""
-    return F.count("*").over(Window.partitionBy("lang", "surface")) == 1

@@ -233,7 +233,8 @@ def _terms(spark, d):
 
 
 def _saved_terms(spark, d):
-    return save(_terms(spark, d), "terms")
+    """Page terms with their page's total, which is computed where a page's terms lie together."""
+    return save(counts.with_total(_terms(spark, d)), "terms")
 
 
 @query(f"WITH {_ALL} SELECT * FROM terms")
@@ -328,12 +329,12 @@ def topic_words(spark, d):
 
 @query(f"WITH {_ALL}, {_TOPICS} SELECT * FROM with_pseudo")
 def topic_words_compat(spark, d):
-    return counts.topic_words(_saved_terms(spark, d), pseudo_word=True)
+    return counts.topic_words(save(_terms(spark, d), "terms"), pseudo_word=True)
 
 
 @query(f"WITH {_ALL}, {_TOPICS} {_TOPIC_TOP}")
 def topic_top_words(spark, d):
-    top = topn.topic_top(save(counts.topic_words(_saved_terms(spark, d), pseudo_word=True), "topics"), LIMITS.topic_words)
+    top = topn.topic_top(save(counts.topic_words(save(_terms(spark, d), "terms"), pseudo_word=True), "topics"), LIMITS.topic_words)
     return top.withColumn("rank", F.col("rank").cast("bigint"))
 
 
@@ -345,12 +346,12 @@ def stored_topic_top(spark, d):
 
 @query(f"WITH {_SCORED}, {_LEX} SELECT s.lang, page_id, s.term, abs FROM scored s JOIN lex ON lex.lang = s.lang AND lex.term = s.term")
 def badword_pairs(spark, d):
-    return badwords.pairs(counts.with_total(_terms(spark, d)), table(spark, d, "badword_lexicon")).select("lang", "page_id", "term", "abs")
+    return badwords.pairs(_terms(spark, d), table(spark, d, "badword_lexicon")).select("lang", "page_id", "term", "abs")
 
 
 @query(f"WITH {_SCORED}, {_LEX} {_REPORT}")
 def badword_report(spark, d):
-    return badwords.report(counts.with_total(_terms(spark, d)), table(spark, d, "badword_lexicon"))
+    return badwords.report(_saved_terms(spark, d), table(spark, d, "badword_lexicon"))
 
 
 @query("SELECT code, CASE WHEN code IN ('simple', 'cr') THEN 'en' WHEN code IN (" + _quoted(config.LEXICON_LANGS) + ") THEN code END AS lexicon FROM (SELECT unnest([" + _quoted([*config.LANGUAGE_NAMES, "cr"]) + "]) AS code)")
@@ -360,14 +361,14 @@ def badword_languages(spark, d):
 
 @query(f"WITH {_SCORED}, {_LEX} SELECT * FROM ({_REPORT}) WHERE lang = 'de'")
 def badword_report_de(spark, d):
-    return badwords.for_language(counts.with_total(_terms(spark, d)), table(spark, d, "badword_lexicon"), "de")
+    return badwords.for_language(_saved_terms(spark, d), table(spark, d, "badword_lexicon"), "de")
 
 
 # ---- stems -----------------------------------------------------------------------------------
 
 
 def _stemmed(spark, d):
-    return save(stems.stem_terms(pipeline.tokens(_delivered(spark, d), LIMITS.revisions)), "stemmed")
+    return save(stems.stem_terms(counts.first_terms(pipeline.tokens(_delivered(spark, d), LIMITS.revisions))), "stemmed")
 
 
 @query(f"WITH {_STEM_ALL} SELECT DISTINCT lang, term, stem FROM stemmed")
@@ -386,9 +387,9 @@ def stem_reverse_global(spark, d):
 
 
 def _stem_parts(spark, d):
-    toks = _stemmed(spark, d)
-    back = save(stems.global_reverse(stems.page_reverse(toks)), "stems")
-    return save(counts.page_terms(toks.drop("term").withColumnRenamed("stem", "term")), "terms"), back
+    stemmed = _stemmed(spark, d)
+    back = save(stems.global_reverse(stems.page_reverse(stemmed)), "stems")
+    return save(counts.with_total(stems.stemmed_page_terms(stemmed)), "terms"), back
 
 
 @query(f"WITH {_STEM_SCORED} SELECT s.lang, page_id, term, coalesce(surface, term) AS surface, tfidf FROM scored s LEFT JOIN rev ON rev.lang = s.lang AND rev.stem = s.term")

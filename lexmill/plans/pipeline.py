@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import logging
+import time
+from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
@@ -9,10 +12,12 @@ from pyspark.sql import functions as F
 
 from lexmill import config
 from lexmill.operators import badwords, counts, pages, stems, text, topn
-from lexmill.scratch import save
+from lexmill.scratch import finished, save
 from lexmill.sources import results
 from lexmill.sources.tables import revisions
 
+log = logging.getLogger("lexmill")
+
 LANGS = ("en", "de", "fr", "es", "pl", "zh")
 
 
@@ -32,38 +37,61 @@ def terms(delivered: DataFrame, n: int = 10) -> DataFrame:
 
 @dataclass
 class Engine:
-    """One run over a table of delivered pages; every language in it is a corpus of its own."""
+    """One run over a table of delivered pages; every language in it is a corpus of its own.
+
+    ``stem``: '' for none, 'languages' for the stemmers of languages that have one, 'suffixes' to put the suffix stemmer on all others as well.
+    ``work``: a folder for the tables between the steps.  A run that finds finished tables there goes on from them, so a
+    failed run can be started again; give each run over other data its own.  Without it they are private and go at the end.
+    """
 
     limits: config.Limits = config.Limits()
     provider: str = "blank"
-    stem: bool = False
+    stem: str = ""
+    work: str | None = None
+
+    def step(self, name: str, make: Callable[[], DataFrame]) -> DataFrame:
+        """A table between the steps, computed unless an earlier run has finished it."""
+        began = time.monotonic()
+        if self.work is None:
+            out = save(make(), name)
+        elif (done := finished(path := f"{self.work}/{name}")) is not None:
+            log.info("step %s: found in %s", name, path)
+            return done
+        else:
+            make().write.mode("overwrite").option("compression", "zstd").parquet(path)
+            out = finished(path)
+        log.info("step %s: %.1f s", name, time.monotonic() - began)
+        return out
 
     def run(self, delivered: DataFrame, lexicon: DataFrame, folder: str, lang: str | None = None) -> results.Results:
-        """Write all results into ``folder`` and open them. Page terms are written once and read by every later step."""
+        """Write all results into ``folder`` and open them. Page terms are written once, with their page's total, and read by every later step."""
+        if self.stem not in ("", "languages", "suffixes"):
+            raise ValueError(f"no way of stemming {self.stem!r}")
         spark = delivered.sparkSession
         if lang is not None:
             delivered = delivered.where(F.col("lang") == config.check_language(lang))
         langs = tuple(LANGS) if lang is None else (lang,)
         toks = tokens(delivered, self.limits.revisions, langs, self.provider)
-        back = None
         if self.stem:
-            toks = save(stems.stem_by_language(save(toks, "unstemmed")), "tokens")
-            back = save(stems.global_reverse(stems.page_reverse(toks)), "stems")
-            toks = toks.drop("term").withColumnRenamed("stem", "term")
-        page_terms = save(counts.page_terms(toks), "terms")
-        words, totals = save(counts.global_words(page_terms), "words"), save(counts.corpus_totals(page_terms), "totals")
-        scored = counts.tfidf(page_terms, words, totals)
-        if back is not None:
-            scored, words = stems.destem(scored, back), stems.destem(words, back)
+            surface = self.step("surface", lambda: counts.first_terms(toks))
+            stemmed = self.step("stemmed", lambda: stems.stem_by_language(surface, self.stem == "suffixes"))
+            back = self.step("stems", lambda: stems.global_reverse(stems.page_reverse(stemmed)))
+            page_terms = self.step("terms", lambda: counts.with_total(stems.stemmed_page_terms(stemmed)))
         else:
-            scored, words = scored.withColumn("surface", F.col("term")), words.withColumn("surface", F.col("term"))
-        scored = save(scored, "scored")
-        as_map = lambda v: F.map_from_entries(F.array_sort(F.collect_list(F.struct("surface", v)))).alias("words")
+            page_terms = self.step("terms", lambda: counts.with_total(counts.page_terms(toks)))
+        words, totals = self.step("words", lambda: counts.global_words(page_terms)), self.step("totals", lambda: counts.corpus_totals(page_terms))
+        scored = counts.tfidf(page_terms, words, totals)
         page = ["lang", "page_id", "topic_id", "tot"]
-        top = topn.page_top(scored, self.limits.page_words).groupBy(*page, "surface").agg(F.max("tfidf").alias("tfidf"))
+        if self.stem:
+            scored, words = self.step("scored", lambda: stems.destem(scored, back)), stems.destem(words, back)
+            readable = self.step("readable", lambda: scored.groupBy(*page, F.col("surface").alias("term")).agg(F.sum("abs").alias("abs")))
+            top = topn.page_top(scored, self.limits.page_words).groupBy(*page, "surface").agg(F.max("tfidf").alias("tfidf"))
+        else:  # a term is its own surface, and once in a page
+            readable, words = page_terms, words.withColumn("surface", F.col("term"))
+            top = topn.page_top(scored, self.limits.page_words).withColumnRenamed("term", "surface")
+        as_map = lambda v: F.map_from_entries(F.array_sort(F.collect_list(F.struct("surface", v)))).alias("words")
         results.write(top.groupBy(*page).agg(as_map("tfidf")), folder, "pages")
-        readable = scored.groupBy(*page, F.col("surface").alias("term")).agg(F.sum("abs").alias("abs"))
-        topics = save(counts.topic_words(readable, pseudo_word=True), "topics")
+        topics = self.step("topics", lambda: counts.topic_words(readable, pseudo_word=True))
         whole = topics.where("term <> ''").groupBy("lang", "topic_id").agg(F.sum("n_pages").alias("tot"))
         cut = topn.topic_top(topics, self.limits.topic_words).withColumn("surface", F.col("term")).groupBy("lang", "topic_id").agg(as_map("n_pages"))
         results.write(_join_topic(cut, whole), folder, "topics")
@@ -72,6 +100,7 @@ class Engine:
         hits = badwords.pairs(readable, lexicon).groupBy("lang", "page_id", "topic_id", "tot")
         out = hits.agg(F.count("*").alias("abs"), F.map_from_entries(F.array_sort(F.collect_list(F.struct("term", F.lit(1).cast("bigint"))))).alias("badw"))
         results.write(out.withColumn("rel", F.col("abs") / F.col("tot")), folder, "badwords")
+        log.info("results in %s", folder)
         return results.Results(spark, folder, lang)
 
 

@@ -56,6 +56,13 @@ def save(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def finished(path: str) -> DataFrame | None:
+    """The table at ``path`` if it was written to its end, else None."""
+    spark = SparkSession.active()
+    p = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/_SUCCESS")
+    return spark.read.parquet(path) if p.getFileSystem(spark._jsc.hadoopConfiguration()).exists(p) else None
+
+
 def clear() -> None:
     """Delete the tables that this process wrote."""
     while _written:

@@ -11,8 +11,10 @@ from pyspark.sql import functions as F
 import __spark_entry__
 from lexmill import config
 from lexmill.functions import columns as C
+from lexmill.functions import stemmers
 from lexmill.operators import badwords, counts, pages, stems, text, topn
 from lexmill.plans import catalogue, pipeline
+from lexmill.scratch import save
 from lexmill.sources import lexicons, results
 from lexmill.sources.tables import revisions
 from lexmill.streaming.upsert import RevisionStore
@@ -172,7 +174,7 @@ def test_stemmers(spark):
     df = spark.createDataFrame([(w,) for w in ("ponies", "cats", "glass", "buses", "is", "trees", "corpus")], "term string")
     assert dict(rows(stems.stem_terms(df), "term", "stem")) == {"ponies": "pony", "cats": "cat", "glass": "glass", "buses": "buse", "is": "is", "trees": "tree", "corpus": "corpus"}
     swedish = {"jaktkarlarne": "jaktkarl", "klokaste": "klok", "kloster": "klost", "jämtlands": "jämtland", "hundarna": "hund", "friskt": "frisk", "rättslig": "rätts"}
-    got = dict(rows(stems.stem_terms(spark.createDataFrame([(w,) for w in swedish], "term string"), stems.swedish_stem), "term", "stem"))
+    got = dict(rows(stems.stem_terms(spark.createDataFrame([(w,) for w in swedish], "term string"), stemmers.swedish), "term", "stem"))
     assert got == swedish
 
 
@@ -188,17 +190,29 @@ def test_config():
     assert (config.stemmer("sv"), config.stemmer("ar"), config.stemmer("en"), config.stemmer("ja")) == ("snowball", "isri", None, None)
 
 
-def test_swedish_has_its_own_stemmer(spark):
-    delivered = spark.createDataFrame(
-        [(lang, i, 1, [(i, f"{w} {w}", None)]) for i, (lang, w) in enumerate((("sv", "flickorna"), ("sv", "flickor"), ("en", "ponies")))],
-        "lang string, page_id bigint, topic_id bigint, revision array<struct<rev_id:bigint,text:string,ts:timestamp>>",
-    )
-    toks = pipeline.tokens(delivered, 10)
-    got = rows(stems.stem_by_language(toks).distinct(), "lang", "term", "stem")
-    assert {(a, b, c) for a, b, c in got} == {("sv", "flickorna", "flick"), ("sv", "flickor", "flick"), ("en", "ponies", "pony")}
+GOLDEN_STEMS = {
+    "sv": {"flickorna": "flick", "flickor": "flick", "hundarna": "hund", "friskt": "frisk"},
+    "hu": {"babakocsi": "babakocs", "babakocsijáért": "babakocs", "babakocsit": "babakocs", "házakban": "ház", "kertekkel": "kert", "könyveim": "könyv", "asztalokat": "asztal", "ház": "ház", "": "", "k": "k"},
+    "ar": {"المكتبات": "كتب", "الكتابة": "كتب", "يدرسون": "درس", "مدرسة": "درس", "والكتاب": "كتب", "من": "من", "": ""},
+}
 
 
-@pytest.mark.parametrize("stem", [False, True])
+def test_golden_stems():
+    for lang, words in GOLDEN_STEMS.items():
+        assert {w: stemmers.STEMMERS[lang](w) for w in words} == words
+
+
+def test_languages_have_their_own_stemmers(spark):
+    """Swedish, Hungarian and Arabic are stemmed; languages that are lemmatised, or have no stemmer, aren't."""
+    words = {(lang, w): s for lang, ws in GOLDEN_STEMS.items() for w, s in ws.items() if w} | {("en", "ponies"): "ponies", ("ja", "cats"): "cats", ("", "cats"): "cats"}
+    toks = spark.createDataFrame([(lang, 1, 1, w) for lang, w in words] * 2, "lang string, page_id bigint, topic_id bigint, term string")
+    got = {(r.lang, r.term): r.stem for r in stems.stem_by_language(counts.page_terms(toks)).collect()}
+    assert got == words
+    more = {(r.lang, r.term): r.stem for r in stems.stem_by_language(counts.page_terms(toks), suffixes=True).collect()}
+    assert more == words | {("en", "ponies"): "pony", ("ja", "cats"): "cat", ("", "cats"): "cat"}
+
+
+@pytest.mark.parametrize("stem", ["", "languages", "suffixes"])
 def test_engine_round_trip(spark, tmp_path, stem):
     delivered = spark.read.parquet(f"{DATA}/reduced_page.parquet")
     lexicon = spark.read.parquet(f"{DATA}/badword_lexicon.parquet")
@@ -243,6 +257,28 @@ def test_one_exchange_to_page_terms(spark):
     assert plan.count("Exchange hashpartitioning") == 1 and "WindowGroupLimit" in plan
 
 
+def exchanges(df):
+    df.collect()  # so that the plan is the one that ran
+    plan = df._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    return plan.count("Exchange hashpartitioning") + plan.count("Exchange rangepartitioning")
+
+
+def test_exchanges(spark):
+    """From saved page terms, scoring needs no exchange, and ranking the words of pages one."""
+    terms = catalogue._saved_terms(spark, DATA)
+    scored = counts.tfidf(terms, totals=save(counts.corpus_totals(terms), "totals"))
+    assert exchanges(scored) == 0
+    assert exchanges(topn.page_top(scored, 50)) == 1
+
+
+def test_frequencies_of_rare_words_are_joined(golden, monkeypatch):
+    terms = counts.with_total(golden)
+    want = rows(counts.tfidf(terms), "page_id", "term", "df", "tfidf")
+    for most in (1, 2, 3):
+        monkeypatch.setattr(counts, "HOT_WORDS", most)
+        assert rows(counts.tfidf(terms), "page_id", "term", "df", "tfidf") == want
+
+
 def test_nothing_outside_imports_the_subpackage():
     import pathlib
     import re
