@@ -12,8 +12,8 @@ from lexmill.functions import columns as C
 from lexmill.operators import badwords, counts, pages, stems, text, topn
 from lexmill.plans import pipeline
 from lexmill.scratch import new_path, save
-from lexmill.sources import results
-from lexmill.sources.tables import revisions, table
+from lexmill.sources import layout, results
+from lexmill.sources.tables import pages_of_documents, revisions, table
 from lexmill.streaming.upsert import RevisionStore, follow
 
 LIMITS = config.Limits()
@@ -308,6 +308,45 @@ def stored_page_tfidf(spark, d):
     return counts.tfidf(save(stored, "stored")).select("lang", "page_id", "term", "tfidf")
 
 
+_DOCS = "revs AS (SELECT coalesce(lang, '') AS lang, page_id, topic_id, doc_id AS rev_id, rev_ts AS ts, text FROM documents WHERE page_id IS NOT NULL)"
+_DOC_TERMS = ", ".join([_DOCS, _latest(LIMITS.revisions), _budget(config.CHAR_BUDGET), _CLEAN, _ALPHA, _STOP, _FREE, _KEPT, _TERMS])
+
+
+@query(f"WITH {_DOC_TERMS} SELECT lang, term, sum(abs)::BIGINT AS a, count(*) AS i FROM terms GROUP BY ALL")
+def document_global_words(spark, d):
+    """The same engine over another source: documents as revisions of their pages."""
+    return counts.global_words(pipeline.terms(pages_of_documents(table(spark, d, "documents")), LIMITS.revisions))
+
+
+_LEMMAS = """known AS (SELECT DISTINCT lang, term FROM global_words WHERE lang IS NOT NULL AND term IS NOT NULL),
+lemmas AS (SELECT k.lang, k.term AS word, b.term AS lemma, CASE WHEN length(k.term) = 3 THEN 'ADP' ELSE 'NOUN' END AS pos FROM known k LEFT JOIN known b ON b.lang = k.lang AND b.term || 's' = k.term)"""
+
+
+@query(f"WITH {_ALL}, {_LEMMAS} SELECT t.lang, coalesce(lemma, t.term) AS term, sum(abs)::BIGINT AS a FROM terms t LEFT JOIN lemmas l ON l.lang = t.lang AND l.word = t.term WHERE coalesce(pos, 'NOUN') <> 'ADP' GROUP BY ALL")
+def lemma_words(spark, d):
+    """Words by lemma, less those of a part of speech that isn't kept; the dictionary is one that can be had from the tables: plurals whose singular is known, and short words as adpositions."""
+    known = table(spark, d, "global_words").where("lang IS NOT NULL AND term IS NOT NULL").select("lang", F.col("term").alias("word")).distinct()
+    singular = known.select("lang", F.concat("word", F.lit("s")).alias("word"), F.col("word").alias("lemma"))
+    lemmas = known.join(singular, ["lang", "word"], "left").withColumn("pos", F.when(F.length("word") == 3, "ADP").otherwise("NOUN"))
+    return text.lemmatise(_terms(spark, d), lemmas).groupBy("lang", "term").agg(F.sum("abs").alias("a"))
+
+
+_GOLDEN = {
+    "sv": {"flickorna": "flick", "hundarna": "hund", "jaktkarlarne": "jaktkarl", "klokaste": "klok", "friskt": "frisk"},
+    "hu": {"babakocsi": "babakocs", "babakocsijáért": "babakocs", "babakocsit": "babakocs", "házakban": "ház", "kertekkel": "kert", "asztalokat": "asztal"},
+    "ar": {"المكتبات": "كتب", "الكتابة": "كتب", "يدرسون": "درس", "مدرسة": "درس"},
+}
+_GOLDEN_ROWS = ", ".join(f"('{lang}', '{w}', '{s}')" for lang, words in _GOLDEN.items() for w, s in words.items())
+
+
+@query(f"SELECT * FROM (VALUES {_GOLDEN_ROWS}) v(lang, term, stem) UNION ALL SELECT DISTINCT lang, term, term FROM global_words WHERE lang IS NOT NULL AND term IS NOT NULL")
+def stem_languages(spark, d):
+    """Each language's words by its own stemmer: words of known stem in three languages, and the stored words, whose languages are lemmatised or have none and stay."""
+    known = spark.createDataFrame([(lang, w) for lang, words in _GOLDEN.items() for w in words], "lang string, term string")
+    stored = table(spark, d, "global_words").where("lang IS NOT NULL AND term IS NOT NULL").select("lang", "term").distinct()
+    return stems.stem_by_language(known.union(stored)).select("lang", "term", "stem")
+
+
 # ---- topics, cuts, bad words -----------------------------------------------------------------
 
 
@@ -449,6 +488,14 @@ def line_protocol(spark, d):
     return back.select(F.col("key").cast("bigint").alias("page_id"), "value.tot", F.explode("value.words").alias("term", "abs"))
 
 
+@query(f"WITH {_SCORED} SELECT page_id, topic_id, tot.tot, t.term, tfidf FROM ({_PAGE_TOP}) t JOIN tot USING (lang, page_id) JOIN (SELECT DISTINCT page_id, topic_id FROM terms) p USING (page_id) WHERE lang = 'en'")
+def layout_pages(spark, d):
+    """One language's results as single gzip files of the older format, opened again: pages."""
+    folder = new_path(spark, "layout")
+    layout.export(_exported(spark, d), folder, "en")
+    return layout.Layout(spark, folder, "en").pages().select("page_id", "topic_id", "tot", F.explode("words").alias("term", "tfidf"))
+
+
 # ---- streaming -------------------------------------------------------------------------------
 
 

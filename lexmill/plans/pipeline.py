@@ -27,8 +27,8 @@ def reduced(delivered: DataFrame, n: int, budget: int = config.CHAR_BUDGET) -> D
     return pages.char_budget(pages.latest_revisions(revs, n), budget)
 
 
-def tokens(delivered: DataFrame, n: int = 10, langs: tuple[str, ...] = LANGS, provider: str = "blank") -> DataFrame:
-    return text.normalise(reduced(delivered, n), text.stopword_table(delivered.sparkSession, list(langs)), provider)
+def tokens(delivered: DataFrame, n: int = 10, langs: tuple[str, ...] = LANGS, provider: str = "blank", bad_records: str = "fail") -> DataFrame:
+    return text.normalise(reduced(delivered, n), text.stopword_table(delivered.sparkSession, list(langs)), provider, bad_records=bad_records)
 
 
 def terms(delivered: DataFrame, n: int = 10) -> DataFrame:
@@ -42,12 +42,15 @@ class Engine:
     ``stem``: '' for none, 'languages' for the stemmers of languages that have one, 'suffixes' to put the suffix stemmer on all others as well.
     ``work``: a folder for the tables between the steps.  A run that finds finished tables there goes on from them, so a
     failed run can be started again; give each run over other data its own.  Without it they are private and go at the end.
+    ``lemmas``: a dictionary for ``text.lemmatise``.  ``bad_records``: 'fail' or 'drop', for texts that the provider can't take.
     """
 
     limits: config.Limits = config.Limits()
     provider: str = "blank"
     stem: str = ""
     work: str | None = None
+    lemmas: DataFrame | None = None
+    bad_records: str = "fail"
 
     def step(self, name: str, make: Callable[[], DataFrame]) -> DataFrame:
         """A table between the steps, computed unless an earlier run has finished it."""
@@ -71,7 +74,9 @@ class Engine:
         if lang is not None:
             delivered = delivered.where(F.col("lang") == config.check_language(lang))
         langs = tuple(LANGS) if lang is None else (lang,)
-        toks = tokens(delivered, self.limits.revisions, langs, self.provider)
+        toks = tokens(delivered, self.limits.revisions, langs, self.provider, self.bad_records)
+        if self.lemmas is not None:
+            toks = text.lemmatise(toks, self.lemmas)
         if self.stem:
             surface = self.step("surface", lambda: counts.first_terms(toks))
             stemmed = self.step("stemmed", lambda: stems.stem_by_language(surface, self.stem == "suffixes"))

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lexmill import config
+from lexmill.scratch import save
 
 NAMES = {"pages": "pages_top", "topics": "topics_top", "words": "words_top", "totals": "totals", "badwords": "badwords"}
 SCHEMAS = {
@@ -19,7 +20,7 @@ SCHEMAS = {
 }
 
 
-def _path(spark: SparkSession, path: str):
+def path_of(spark: SparkSession, path: str):
     p = spark._jvm.org.apache.hadoop.fs.Path(path)
     return p, p.getFileSystem(spark._jsc.hadoopConfiguration())
 
@@ -38,7 +39,7 @@ class Results:
         self.spark, self.folder, self.lang = spark, folder, lang
         self.has_badwords = lang is None or config.lexicon_language(lang) is not None
         for kind in NAMES:
-            p, fs = _path(spark, f"{folder}/{NAMES[kind]}")
+            p, fs = path_of(spark, f"{folder}/{NAMES[kind]}")
             if (kind != "badwords" or self.has_badwords) and not fs.exists(p):
                 raise FileNotFoundError(str(p))
 
@@ -69,34 +70,53 @@ class Results:
     def delete(self) -> None:
         """Remove the results' own folders and nothing else."""
         for name in NAMES.values():
-            p, fs = _path(self.spark, f"{self.folder}/{name}")
+            p, fs = path_of(self.spark, f"{self.folder}/{name}")
             if fs.exists(p):
                 fs.delete(p, True)
 
 
-def write_lines(df: DataFrame, path: str, key: str, value: str) -> None:
-    """The line protocol: one file, an opening brace before the first entry, ``"key":json,`` on each line, a closing brace at the end.
+def write_lines(df: DataFrame, path: str, key: str, value: str, gzip: bool = False, whole: bool = False) -> None:
+    """The line protocol: an opening brace before the first entry, ``"key":json,`` on each line, a closing brace at the end.
 
-    For exchange with readers of that format: one ordered file, written by one task from a stream of rows.
+    Parts are ordered by key and, read one after the other, are the file; all tasks write.  Rows with a null key are left out.
+    ``gzip``: compress the parts at level 9.  ``whole``: no comma after the last entry, so that all parts together are valid JSON.
     """
-    lines = df.select(key, F.concat(F.lit('"'), F.col(key).cast("string"), F.lit('":'), F.to_json(value), F.lit(",")).alias("value"))
-
-    def framed(batches):
-        import pyarrow as pa
-
-        first = True
-        for b in batches:
-            rows = b.column(1).to_pylist()
-            if first and rows:
-                rows[0], first = "{" + rows[0], False
-            yield pa.record_batch([pa.array(rows, pa.string())], names=["value"])
-        yield pa.record_batch([pa.array(["{}" if first else "}"])], names=["value"])
-
-    lines.orderBy(key).coalesce(1).mapInArrow(framed, "value string").write.mode("overwrite").text(path)
+    rows = save(df.where(F.col(key).isNotNull()).select(F.col(key).alias("key"), F.col(value).alias("v")), "entries")
+    ends = rows.agg(F.min("key").alias("first"), F.max("key").alias("last")).first()
+    json = lambda c: F.to_json(F.struct(c.alias("x")), {"ignoreNullFields": "false"})
+    bare = lambda c: F.substring(json(c), F.lit(6), F.length(json(c)) - 6)  # noqa: E731 - what is between {"x": and }
+    opening, comma = F.when(F.col("key") == F.lit(ends["first"]), "{").otherwise(""), F.when((F.col("key") == F.lit(ends["last"])) & F.lit(whole), "").otherwise(",")
+    lines = rows.select("key", F.concat(opening, bare(F.col("key").cast("string")), F.lit(":"), bare(F.col("v")), comma).alias("value"))
+    closing = df.sparkSession.createDataFrame([(None, "}" if ends["first"] is not None else "{}")], lines.schema)
+    out = lines.union(closing).orderBy(F.col("key").asc_nulls_last()).select("value").write.mode("overwrite")
+    if gzip:
+        out = out.option("compression", "gzip").option("zlib.compress.level", "BEST_COMPRESSION")
+    out.text(path)
+
+
+def join_parts(spark: SparkSession, parts: str, path: str) -> None:
+    """Put the parts together, in order and as they are, into one file, which replaces what is there; the parts go. The bytes stream through the driver."""
+    p, fs = path_of(spark, parts)
+    to, _ = path_of(spark, path)
+    names = sorted(s.getPath().getName() for s in fs.listStatus(p))
+    beside, _ = path_of(spark, f"{path}.new")
+    out = fs.create(beside, True)
+    try:
+        for name in names:
+            if name.startswith("part-"):
+                source = fs.open(path_of(spark, f"{parts}/{name}")[0])
+                spark._jvm.org.apache.hadoop.io.IOUtils.copyBytes(source, out, 1 << 16, False)
+                source.close()
+    finally:
+        out.close()
+    fs.delete(to, False)
+    fs.rename(beside, to)
+    fs.delete(p, True)
 
 
 def read_lines(spark: SparkSession, path: str, value: str) -> DataFrame:
     """(key, value) of files in the line protocol; ``value`` is the type's DDL. Lines may be of any length."""
     lines = spark.read.text(path).where("value NOT IN ('}', '{}')")
     wrapped = F.concat(F.lit("{"), F.regexp_replace(F.regexp_replace("value", r"^\{", ""), r",\s*$", ""), F.lit("}"))
-    return lines.select(F.explode(F.from_json(wrapped, f"map<string,{value}>")).alias("key", "value"))
+    kind = f"map<string,{value}>"  # a line that is whole by itself is read as it is
+    return lines.select(F.explode(F.coalesce(F.from_json(wrapped, kind), F.from_json("value", kind))).alias("key", "value"))

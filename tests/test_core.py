@@ -1,5 +1,6 @@
 """Core operators: worked examples, edge cases, and every query against its SQL."""
 
+import gzip
 import json
 import subprocess
 import sys
@@ -15,8 +16,8 @@ from lexmill.functions import stemmers
 from lexmill.operators import badwords, counts, pages, stems, text, topn
 from lexmill.plans import catalogue, pipeline
 from lexmill.scratch import save
-from lexmill.sources import lexicons, results
-from lexmill.sources.tables import revisions
+from lexmill.sources import layout, lexicons, results
+from lexmill.sources.tables import pages_of_turns, revisions
 from lexmill.streaming.upsert import RevisionStore
 from tests.conftest import DATA, check_against_sql
 
@@ -235,20 +236,99 @@ def test_engine_on_empty_and_null_input(spark, tmp_path):
 
 
 def test_line_protocol(spark, tmp_path):
-    df = spark.createDataFrame([(2, "b"), (1, "ä,}")], "i bigint, w string").select("i", F.struct("w").alias("v"))
+    read = lambda path: [x for p in sorted((tmp_path / path).glob("part-*")) for x in p.read_text().splitlines()]
+    df = spark.createDataFrame([(2, "b"), (1, "ä,}"), (None, "x")], "i bigint, w string").select("i", F.struct("w").alias("v"))
     results.write_lines(df, str(tmp_path / "l"), "i", "v")
-    lines = [x for p in (tmp_path / "l").glob("part-*") for x in p.read_text().splitlines()]
+    lines = read("l")
     assert lines == ['{"1":{"w":"ä,}"},', '"2":{"w":"b"},', "}"] and json.loads(lines[0][:-1] + "}")
     assert rows(results.read_lines(spark, str(tmp_path / "l"), "struct<w:string>").select("key", "value.w"), "key", "w") == [("1", "ä,}"), ("2", "b")]
+    results.write_lines(df.limit(0), str(tmp_path / "none"), "i", "v")
+    assert read("none") == ["{}"] and results.read_lines(spark, str(tmp_path / "none"), "struct<w:string>").count() == 0
+    many = spark.range(1000).select(F.concat(F.lit('a"'), F.col("id").cast("string")).alias("i"), F.col("id").alias("v")).repartition(4)
+    results.write_lines(many, str(tmp_path / "many"), "i", "v", whole=True)
+    whole = json.loads("".join(read("many")))
+    assert whole == {f'a"{i}': i for i in range(1000)} and list(whole) == sorted(whole)
+    (tmp_path / "one").write_text('{"a": 1, "b": 2}')
+    assert rows(results.read_lines(spark, str(tmp_path / "one"), "bigint"), "key", "value") == [("a", 1), ("b", 2)]
+
+
+def test_older_layout(spark, tmp_path):
+    """The four files are single, valid gzip files with the names and fields of the format, and open again; other files are left alone."""
+    found = pipeline.Engine(config.Limits(page_words=5)).run(spark.read.parquet(f"{DATA}/reduced_page.parquet"), spark.read.parquet(f"{DATA}/badword_lexicon.parquet"), str(tmp_path / "out"), "en")
+    layout.export(found, str(tmp_path / "old"), "en")
+    assert sorted(p.name for p in (tmp_path / "old").iterdir() if not p.name.startswith(".")) == sorted(layout.FILES.values())
+    words = json.loads(gzip.open(tmp_path / "old" / layout.FILES["words"]).read())
+    assert words == {r.term: r.a for r in found.global_words().collect()}
+    lines = gzip.open(tmp_path / "old" / layout.FILES["pages"]).read().decode().splitlines()
+    assert lines[0][0] == "{" and lines[-1] == "}" and set(json.loads("{" + lines[1][:-1] + "}").popitem()[1]) == {"TopicID", "Tot", "Words"}
+    old = layout.Layout(spark, str(tmp_path / "old"), "en")
+    shown = lambda df, *names: rows(df.select(*(F.to_json(n).alias(n) if n in ("words", "badw") else n for n in names)), *names)
+    for kind, names in (("pages", ("page_id", "topic_id", "tot", "words")), ("badwords", ("page_id", "topic_id", "abs", "rel", "badw"))):
+        assert shown(getattr(old, kind)(), *names) == shown(getattr(found, kind)(), *names)
+    assert shown(old.topics(), "topic_id", "words") == shown(found.topics().where("topic_id IS NOT NULL"), "topic_id", "words")
+    (tmp_path / "old" / "mine").write_text("x")
+    old.delete()
+    assert [p.name for p in (tmp_path / "old").iterdir() if not p.name.startswith(".")] == ["mine"]
+    with pytest.raises(FileNotFoundError):
+        layout.Layout(spark, str(tmp_path / "old"), "en")
+
+
+def test_a_failed_run_is_taken_up_again(spark, tmp_path, monkeypatch):
+    """Steps that were finished are read, not computed; one that was broken off is computed anew."""
+    delivered, lexicon = spark.read.parquet(f"{DATA}/reduced_page.parquet"), spark.read.parquet(f"{DATA}/badword_lexicon.parquet")
+    engine = pipeline.Engine(work=str(tmp_path / "work"))
+    with monkeypatch.context() as m:
+        m.setattr(counts, "corpus_totals", lambda terms: 1 / 0)
+        with pytest.raises(ZeroDivisionError):
+            engine.run(delivered, lexicon, str(tmp_path / "out"))
+    (tmp_path / "work" / "words" / "_SUCCESS").unlink()
+    before = (tmp_path / "work" / "terms" / "_SUCCESS").stat().st_mtime_ns
+    want = pipeline.Engine().run(delivered, lexicon, str(tmp_path / "other"))
+    got = engine.run(delivered, lexicon, str(tmp_path / "out"))
+    assert (tmp_path / "work" / "terms" / "_SUCCESS").stat().st_mtime_ns == before and (tmp_path / "work" / "words" / "_SUCCESS").exists()
+    assert rows(got.global_words(), "lang", "term", "a", "i") == rows(want.global_words(), "lang", "term", "a", "i")
+
+
+def test_providers_and_bad_records(spark):
+    def make():
+        def tokens_of(text, lang):
+            if "bad" in text:
+                raise ValueError(text)
+            return text.split()
+
+        return tokens_of
+
+    text.text_provider("test")(make)
+    df = spark.createDataFrame([("en", "good words"), ("en", "bad words"), (None, None)], "lang string, text string")
+    assert [r.tokens for r in text.PROVIDERS["test"](df, "drop").collect()] == [["good", "words"], [], []]
+    with pytest.raises(Exception):
+        text.PROVIDERS["test"](df).collect()
+
+
+def test_lemmas(spark):
+    terms = spark.createDataFrame([("en", "cats", 2), ("en", "under", 1), ("en", "odd", 1), ("de", "cats", 1)], "lang string, term string, abs bigint")
+    lemmas = spark.createDataFrame([("en", "cats", "cat", "NOUN"), ("en", "under", None, "ADP"), ("en", "odd", None, None)], "lang string, word string, lemma string, pos string")
+    assert rows(text.lemmatise(terms, lemmas), "lang", "term", "abs") == [("de", "cats", 1), ("en", "cat", 2), ("en", "odd", 1)]
+
+
+def test_other_sources(spark):
+    turns = spark.createDataFrame([(1, 0, "first"), (1, 1, "second"), (None, 0, "x")], "conv bigint, turn int, text string")
+    assert rows(revisions(pages_of_turns(turns, "conv", "turn", "text")), "page_id", "rev_id", "text") == [(1, 0, "first"), (1, 1, "second")]
 
 
 def test_store_is_idempotent_and_takes_late_pages(spark, tmp_path):
     df = revisions(spark.read.parquet(f"{DATA}/reduced_page.parquet"))
-    store = RevisionStore(spark, str(tmp_path / "s"), keep=3, buckets=8)
-    late = F.pmod("rev_id", F.lit(2)) == 0
-    store.upsert(df.where(~late), 0)
-    store.upsert(df.where(late), 1)
-    store.upsert(df.where(late), 1)
+    store = RevisionStore(spark, str(tmp_path / "s"), keep=3, compact=3)
+    assert store.read().count() == 0
+    part = F.pmod("rev_id", F.lit(5))
+    for i in range(5):
+        store.upsert(df.where(part == i), i)
+        store.upsert(df.where(part == i), i)
+        assert rows(store.read(), "page_id", "rev_id") == rows(pages.latest_revisions(df.where(part <= i), 3), "page_id", "rev_id")
+    kept = {p.name for p in (tmp_path / "s").iterdir()}
+    assert "base-2" in kept and {"delta-3", "delta-4"} <= kept and not {"delta-0", "delta-1", "delta-2"} & kept
+    (tmp_path / "s" / "delta-9").mkdir()  # as a batch leaves it that fails before its manifest is there
+    (tmp_path / "s" / "manifest" / "x.new").write_text("{")
     assert rows(store.read(), "page_id", "rev_id") == rows(pages.latest_revisions(df, 3), "page_id", "rev_id")
 
 
