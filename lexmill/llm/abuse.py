@@ -43,6 +43,7 @@ SMOOTH = 6  # added to a segment's number of features, so that a few words alone
 LEAST_SHARE = 0.004  # a feature of fewer texts than this share of the abusive ones, or of one text only, learns nothing
 DIM = 4
 PER_CLASS = (2000, 5000)  # labelled texts used at most, abusive and not, by hash
+LEAST_BAD = 50  # abusive labelled texts from which others are added; what fewer teach isn't sure enough
 FILL = (1000, 1500)  # texts of each kind that are wanted; others fill up to them, by hash
 MOST_CHARS = 30_000_000  # of the texts of one kind
 ROUNDS = 2
@@ -325,9 +326,9 @@ def fit(texts: DataFrame, id_col: str, text_col: str, voted: DataFrame, per_clas
     other = got["text"][~own].tolist()
     n_bad = int((2 * positive > votes).sum())
     model = train(named, positive, votes)
-    free = rows.join(voted.select("id"), "id", "left_anti")
-    for _ in range(ROUNDS if 0 < n_bad < fill[0] else 0):
-        found = free.mapInArrow(_named(spark.sparkContext.broadcast(model)), "id bigint, segment string").orderBy(F.xxhash64("id"), "id", "segment")
+    for _ in range(ROUNDS if LEAST_BAD <= n_bad < fill[0] else 0):
+        found = rows.mapInArrow(_named(spark.sparkContext.broadcast(model)), "id bigint, segment string")
+        found = found.join(voted.select("id"), "id", "left_anti").orderBy(F.xxhash64("id"), "id", "segment")
         sure = [r["segment"] for r in found.limit(fill[0] - n_bad).collect()]
         if not sure:
             break
