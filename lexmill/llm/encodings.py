@@ -1,13 +1,18 @@
 """Texts read with a wrong character encoding: round-trip repair.
 
-Bytes of a multi-byte character are all above 127, so a garbled character is a run of at least
+Bytes of a multi-byte character are all above 127, so a garbled character is mostly a run of at least
 two non-ASCII characters.  Each run is re-encoded under candidate legacy encodings and strictly
 decoded as the encoding that was meant; the result is taken if a garbling cost drops, and tried
-again for nested layers.  The cost of a character grows with how little it belongs where it is:
+again for nested layers, however many.  The cost of a character grows with how little it belongs where it is:
 controls, replacement characters, box drawing and symbols within words, capitals after small letters.
 
 A run that only partly decodes is repaired where another run of the same text decoded as a
-whole in the same way.  Replacement characters (U+FFFD) show garbling that can't be restored.
+whole in the same way, or, if none did, where a part of some run decodes and lowers the run's cost.
+Replacement characters (U+FFFD) show garbling that can't be restored.
+
+Where one character was left of each, a text without garbled runs is looked at as a whole: a Chinese character inside
+Latin words of a text without other Chinese is UTF-8 read as GBK; several signs inside words, that in
+another one-byte encoding are letters, are letters of that encoding.
 
 Nulls: rows with a null id or null text are left out.  Correct letters and signs of any language have nothing to repair.
 """
@@ -32,6 +37,13 @@ OTHERS = (("cp1252", "gbk"), ("latin-1", "gbk"), ("gbk", "utf-8"), ("cp1252", "c
 #: Runs of non-ASCII characters, those of Chinese and full-width ones by themselves.
 RUN = re.compile(r"[^\x00-\x7f\u3000-\u9fff\uff00-\uffef]{2,}|[\u3000-\u9fff\uff00-\uffef]{2,}")
 SEQUENCE = re.compile(rb"(?:[\xc2-\xdf][\x80-\xbf]|[\xe0-\xef][\x80-\xbf]{2}|[\xf0-\xf4][\x80-\xbf]{3})+")
+#: Single characters: a Chinese one after a small Latin letter; a sign between two, and the ways it may be a letter.
+LONE_HANZI = re.compile("(?<=[a-z])[\u4e00-\u9fff](?![\u3000-\u9fff\uff00-\uffef])")
+LONE_SIGN = re.compile("(?<=[a-z])[¹³±¶¼¿](?=[a-z])")
+#: A Latin letter or a quote whose UTF-8 was read as cp1252 or Latin-1.
+IN_PART = re.compile("[ÂÃÄÅ][\x80-\xbf€‚ƒ„…†‡ˆ‰Š‹ŒŽ‘’“”•–—˜™š›œžŸ]|â€")
+ONE_BYTE = (("cp1252", "cp1250"), ("latin-1", "iso8859-2"))
+LETTERS = re.compile("[^\\x00-\\x7f]")
 QUOTES = frozenset("’‘“”„«»–—…‹›‚")
 
 
@@ -175,19 +187,64 @@ def partly(run: str, before: str, name: str) -> str:
     return "".join(out)
 
 
+def lone(text: str) -> tuple[str, list[str], int]:
+    """``repair`` of a text in which one character was left of each garbled one."""
+    hanzi = LONE_HANZI.findall(text)
+    if hanzi and len(hanzi) == sum("\u4e00" <= c <= "\u9fff" for c in text):
+
+        def letter(c: str) -> str | None:
+            try:
+                out = c.encode("gbk").decode("utf-8")
+            except UnicodeError:
+                return None
+            return out if len(out) == 1 and "\xc0" <= out < "\u0180" and out.isalpha() else None
+
+        if all(map(letter, hanzi)):
+            return LONE_HANZI.sub(lambda m: letter(m.group()), text), ["gbk>utf-8"], len(hanzi)
+    if len(LONE_SIGN.findall(text)) >= 2:
+        for source, meant in ONE_BYTE:
+            fixed = LETTERS.sub(lambda m: (_encode(m.group(), source) or m.group().encode()).decode(meant, "replace"), text)  # noqa: B023
+            n = sum(a != b for a, b in zip(fixed, text))
+            if len(fixed) == len(text) and all(b == a or b.isalpha() for a, b in zip(text, fixed)) and not LONE_SIGN.search(fixed):
+                return fixed, [f"{source}>{meant}"], n
+    return text, [], 0
+
+
+def _latin(run: str, fixed: str) -> bool:
+    """Whether what is new in a run are Latin letters and quotes."""
+    return all("\xc0" <= c < "\u0180" and c.isalpha() or c in QUOTES for c in set(fixed) - set(run))
+
+
+def _best_part(runs: list[tuple[str, str]]) -> tuple[str, str] | None:
+    """Where no run decodes as a whole: the way by which parts of runs lower the cost of all of them most."""
+    found = []
+    runs = [r for r in runs if IN_PART.search(r[0])]
+    for k, way in enumerate(WAYS[:2] if runs else ()):
+        drop = sum(cost(run, before) - cost(fixed, before) for run, before in runs if (fixed := partly(run, before, way[0])) != run and _latin(run, fixed))
+        if drop > MARGIN:
+            found.append((-drop, k, way))
+    return min(found)[2] if found else None
+
+
 def repair(text: str) -> tuple[str, list[str], int]:
     """(text as repaired, ways such as 'cp1252>utf-8' by number of runs, runs repaired)."""
     ways: Counter = Counter()
     found = [(m, text[m.start() - 1] if m.start() else "") for m in RUN.finditer(text)]
     prefer = common_way([(m.group(), before) for m, before in found])
+    in_part = prefer is None
+    if in_part:
+        prefer = _best_part([(m.group(), before) for m, before in found])
     if prefer is None:
-        return text, [], 0
+        return lone(text)
     parts, n, at = [], 0, 0
     for m, before in found:
         run = m.group()
         fixed, taken = whole(run, before, prefer)
         if not taken and prefer[1] == "utf-8":
             fixed = partly(run, before, prefer[0])
+            if in_part and (not _latin(run, fixed) or cost(fixed, before) >= cost(run, before) - MARGIN):
+                fixed = run
+            taken = (prefer,) if fixed != run and in_part else ()
         n += fixed != run
         ways.update(taken)
         parts += [text[at : m.start()], fixed]
@@ -211,7 +268,7 @@ def _repair(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def garbled(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """(id, text, ways, runs, lost) of the garbled rows: the text as far as it could be restored, how, in how many places, and replacement characters left.
 
-    Texts without two adjacent non-ASCII characters and without a replacement character don't leave the JVM.
+    Texts without two adjacent non-ASCII characters, such a character inside a word, or a replacement character don't leave the JVM.
     """
-    rows = df.select(F.col(id_col).cast("bigint").alias("id"), F.col(text_col).alias("text")).where("id IS NOT NULL").where(F.col("text").rlike("[^\\x00-\\x7F]{2}|�"))
+    rows = df.select(F.col(id_col).cast("bigint").alias("id"), F.col(text_col).alias("text")).where("id IS NOT NULL").where(F.col("text").rlike("[^\\x00-\\x7F]{2}|[a-z][\u4e00-\u9fff]|[a-z][¹³±¶¼¿][a-z]|�"))
     return rows.mapInArrow(_repair, "id bigint, text string, ways array<string>, runs bigint, lost bigint")

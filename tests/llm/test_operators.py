@@ -572,6 +572,33 @@ def test_other_encodings_meant():
     assert encodings.repair("Москва река".encode("cp1251").decode("latin-1"))[0] == "Москва река"
 
 
+def test_single_characters():
+    assert encodings.repair("caf茅 and th茅 in the garden")[0] == "café and thé in the garden"
+    assert encodings.repair("pe³ny g³os m¹dry cz³owiek")[0] == "pełny głos mądry człowiek"
+    for text in ("卡拉ok 很好", "the word a美国b", "x³y", "flow of 5 m³ per h, 3 m³", "5±3 and a±b", "T恤 is a shirt"):
+        assert encodings.repair(text) == (text, [], 0), text
+
+
+def test_a_run_beside_a_correct_character():
+    assert encodings.repair("a school „Ã©cole” of old")[0] == "a school „école” of old"
+
+
+def test_recall_of_garbled_places():
+    """Words with one letter garbled, in texts of plain words: all are found and restored; the same texts as they should be are left alone."""
+    rng = random.Random(14)
+    letters = "éèàüößñółęąśźżćç"
+    found = 0
+    for _ in range(200):
+        words = ["".join(rng.choice("abcdefghilmnoprstu") for _ in range(rng.randrange(3, 9))) for _ in range(30)]
+        at = rng.randrange(30)
+        words[at] = words[at][:2] + rng.choice(letters) + words[at][2:]
+        good = " ".join(words)
+        bad = "".join(bytes([b]).decode("cp1252", "ignore") or chr(b) for b in good.encode())
+        assert encodings.repair(good) == (good, [], 0)
+        found += encodings.repair(bad)[0] == good
+    assert found >= 190
+
+
 @pytest.mark.parametrize("text", [*PLAIN, "VERÃO CORAÇÃO MANHÃS PÂRÂURI. DOUĂ” VÂLCĂU", "L’île « Âtre-Noir » coûte, ÂGÉ", "┌──────┬──────┐\n│ a │\n└──────┴──────┘", "Река «СССР» № 5", "中文文本，没有问题。", "x ± 2°, § 7 ¶ 2 ©", "ÀÉÎÕÜ", "“ÉTÉ”", "——……——", ""])
 def test_correct_texts_stay(text):
     assert encodings.repair(text) == (text, [], 0)
