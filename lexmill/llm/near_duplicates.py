@@ -484,37 +484,41 @@ def _families(found: DataFrame) -> DataFrame:
     return join_counted(found, size, "f").select("a", "b", F.when(F.col("total") <= TOGETHER, F.col("f")).otherwise(F.xxhash64("a", "b")).alias("f"))
 
 
-BLOOM = 1 << 24
+LEAST_BITS, MOST_BITS = 20, 27  # of the bitmap of classes whose sets are needed; sixteen bits a class between them
 
 
-def _bloom(ids: DataFrame):
-    """Task results and their union: a bitmap of 2 MB of the class ids; ids that aren't in it needn't be sent."""
+def _bloom(ids: DataFrame, bits: int) -> np.ndarray:
+    """A bitmap of the class ids; sets of classes that aren't in it needn't be sent. Tasks' bitmaps are united by 64-bit words: at most 2**21 of them come to the driver."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bits = np.zeros(BLOOM // 8, np.uint8)
+        words = np.zeros(1 << (bits - 6), U64)
         for b in batches:
             for c in range(b.num_columns):
-                at = vec.mix(b.column(c).to_numpy().view(U64)) >> U64(40)
-                np.bitwise_or.at(bits, (at >> U64(3)).astype(np.int64), (U64(1) << (at & U64(7))).astype(np.uint8))
-        nz = np.flatnonzero(bits)
-        yield pa.record_batch([pa.array(nz.astype(np.int32)), pa.array(bits[nz].astype(np.int32))], names=["at", "bits"])
+                at = vec.mix(b.column(c).to_numpy().view(U64)) >> U64(64 - bits)
+                np.bitwise_or.at(words, (at >> U64(6)).astype(np.int64), U64(1) << (at & U64(63)))
+        nz = np.flatnonzero(words)
+        yield pa.record_batch([pa.array(nz.astype(np.int32)), pa.array(words[nz].view(np.int64))], names=["at", "word"])
 
-    got = ids.mapInArrow(run, "at int, bits int").groupBy("at").agg(F.bit_or("bits").alias("bits")).toPandas()
-    bits = np.zeros(BLOOM // 8, np.uint8)
-    bits[got["at"].to_numpy(np.int64)] = got["bits"].to_numpy(np.uint8)
-    return bits
+    got = ids.mapInArrow(run, "at int, word bigint").groupBy("at").agg(F.bit_or("word").alias("word")).toPandas()
+    words = np.zeros(1 << (bits - 6), U64)
+    words[got["at"].to_numpy(np.int64)] = got["word"].to_numpy(np.int64).view(U64)
+    return words
+
+
+def _inside(cid: np.ndarray, words: np.ndarray) -> np.ndarray:
+    at = vec.mix(cid.view(U64)) >> U64(64 - (len(words) << 6).bit_length() + 1)
+    return (words[(at >> U64(6)).astype(np.int64)] >> (at & U64(63))) & U64(1)
 
 
 def _arrays(k: int, min_words: int, bloom):
     """Task: the set of each class in the bitmap, as 48-bit hashes in order."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bits, seen = bloom.value, _Seen()
+        words, seen = bloom.value, _Seen()
         for b in batches:
             texts = b.column(0).to_pylist()
             for _, _, runs, n, cid in _sets(texts, k, min_words):
-                at = vec.mix(cid.view(U64)) >> U64(40)
-                inside = (bits[(at >> U64(3)).astype(np.int64)] >> (at & U64(7)).astype(np.uint8)) & 1
+                inside = _inside(cid, words).astype(np.int64)
                 last, ids, blobs = np.cumsum(n), [], []
                 for i in np.flatnonzero(seen.fresh(cid, n * inside)):
                     own = runs[last[i] - n[i] : last[i]]
@@ -579,7 +583,8 @@ def class_pairs(df: DataFrame, id_col: str, text_col: str, threshold: float = 0.
     keys = keys.repartitionById(parts, F.col("part")).sortWithinPartitions("bucket", "hot")
     groups = save(keys.mapInArrow(_group(threshold, most, bucket_bytes), _GROUPS), "groups")
     found = save(_candidates(groups, sketches, threshold, tile), "candidates")
-    bloom = spark.sparkContext.broadcast(_bloom(found.select("a", "b")))
+    bits = min(max((32 * max(found.count(), 1)).bit_length(), LEAST_BITS), MOST_BITS)
+    bloom = spark.sparkContext.broadcast(_bloom(found.select("a", "b"), bits))
     sets = texts.mapInArrow(_arrays(k, min_words, bloom), "cid bigint, runs binary").groupBy("cid").agg(F.first("runs").alias("runs"))
     found = save(_families(found), "found")
     need = found.select("f", F.explode(F.array("a", "b")).alias("cid")).distinct()

@@ -48,6 +48,11 @@ def p2_found(spark: SparkSession, d: str) -> DataFrame:
     return p2_counts(spark, d).select("lang", "word")
 
 
+def p2_words(spark: SparkSession, d: str) -> DataFrame:
+    """The same words with their exact counts, without the sketch's bounds."""
+    return p2_counts(spark, d).select("lang", "word", "n", "tokens")
+
+
 def p3_found(spark: SparkSession, d: str) -> DataFrame:
     rows = revisions(table(spark, d, "reduced_page").select("revision"))
     out = near_duplicates.near_duplicate_pairs(rows, "rev_id", "text", threshold=0.7, k=3, min_words=20)
@@ -60,6 +65,11 @@ def p3_groups(spark: SparkSession, d: str) -> DataFrame:
     return out.withColumnRenamed("id", "rev_id")
 
 
+def p3_links(spark: SparkSession, d: str) -> DataFrame:
+    """For every revision, how many other texts are near its own."""
+    return p3_groups(spark, d).select("rev_id", "links")
+
+
 def p4_pieces(spark: SparkSession, d: str) -> DataFrame:
     """Revision texts over 6 000 characters as ordered pieces that repeat up to 200 characters."""
     out = pieces.long_pieces(revisions(table(spark, d, "reduced_page").select("revision")), "rev_id", "text")
@@ -189,6 +199,21 @@ _P7 = """WITH w AS (SELECT doc_id AS id, 'd' AS kind, regexp_extract_all(lower(t
 UNION ALL SELECT item_id, 'i', regexp_extract_all(lower(text), '[\\p{L}\\p{N}]+') FROM eval_items),
 run AS (SELECT DISTINCT kind, id, unnest(list_transform(range(1, len(w) - 10), lambda i: array_to_string(w[i:i + 11], ' '))) AS run FROM w WHERE len(w) >= 12)
 SELECT DISTINCT a.id AS doc_id, b.id AS item_id FROM run a JOIN run b ON a.run = b.run WHERE a.kind = 'd' AND b.kind = 'i'"""
+_P7_ITEMS = """WITH w AS (SELECT DISTINCT doc_id AS id, 'd' AS kind, regexp_extract_all(lower(text), '[\\p{L}\\p{N}]+') AS w FROM documents
+UNION ALL SELECT item_id, 'i', regexp_extract_all(lower(text), '[\\p{L}\\p{N}]+') FROM eval_items),
+run AS (SELECT kind, id, unnest(range(1, len(w) - 10)) AS pos, unnest(list_transform(range(1, len(w) - 10), lambda i: array_to_string(w[i:i + 11], ' '))) AS run FROM w WHERE len(w) >= 12),
+hit AS (SELECT a.id AS doc_id, b.id AS item_id, a.pos, a.pos - b.pos AS shift FROM run a JOIN run b ON a.run = b.run WHERE a.kind = 'd' AND b.kind = 'i'),
+row_of AS (SELECT doc_id, item_id, shift, pos - row_number() OVER (PARTITION BY doc_id, item_id, shift ORDER BY pos) AS r FROM hit),
+length AS (SELECT doc_id, item_id, count(*) + 11 AS n FROM row_of GROUP BY doc_id, item_id, shift, r)
+SELECT item_id, count(DISTINCT doc_id) AS documents, max(n) AS longest_run FROM length GROUP BY item_id"""
+_P3_LINKS = """WITH rev AS (SELECT DISTINCT r.rev_id, r.text FROM (SELECT unnest(revision) AS r FROM reduced_page) WHERE r.text IS NOT NULL AND r.rev_id IS NOT NULL),
+w AS (SELECT rev_id, regexp_extract_all(lower(text), '[\\p{L}\\p{N}]+') AS w FROM rev),
+own AS (SELECT rev_id, list_sort(list_distinct(list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' ')))) AS runs FROM w),
+class AS (SELECT row_number() OVER () AS c, runs, len(runs) AS n FROM (SELECT DISTINCT runs FROM own WHERE len(runs) > 0)),
+run AS (SELECT c, n, unnest(runs) AS run FROM class),
+common AS (SELECT a.c AS a, b.c AS b, any_value(a.n) AS na, any_value(b.n) AS nb, count(*) AS k FROM run a JOIN run b ON a.run = b.run AND a.c <> b.c GROUP BY a.c, b.c),
+link AS (SELECT a, count(*) AS links FROM common WHERE k >= 0.8 * (na + nb - k) GROUP BY a)
+SELECT rev_id, coalesce(links, 0) AS links FROM own LEFT JOIN class USING (runs) LEFT JOIN link ON a = c"""
 _P5_MARK = "CASE WHEN pages <= 2 THEN 'rare' WHEN pages >= 3 AND pages >= 0.15 * total THEN 'common' END"
 _P5 = f"""WITH page AS (SELECT page_id, any_value(lang) AS lang, any_value(words) AS words FROM page_words WHERE words IS NOT NULL GROUP BY page_id),
 t AS (SELECT lang, unnest(map_entries(words)) AS e FROM page),
@@ -211,6 +236,9 @@ def oracle_sql() -> dict[str, str]:
         "p4_found": _P4,
         "p5_terms": _P5,
         "p5_global_terms": _P5_GLOBAL,
+        "p2_words": _P2.replace("SELECT n.lang, n.word FROM", "SELECT n.lang, n.word, n.n, total.total::BIGINT AS tokens FROM"),
+        "p3_links": _P3_LINKS,
+        "p7_items": _P7_ITEMS,
         "p7_found": _P7,
         "p5_found": f"SELECT lang, word, mark FROM ({_P5}) WHERE mark IS NOT NULL",
     }

@@ -221,7 +221,7 @@ def test_verification_tells_runs_apart_that_share_32_bits(monkeypatch):
     low = np.arange(1, 11, dtype=np.uint64)
     runs = np.concatenate((low, low | np.uint64(1 << 40)))  # two sets without a common run
     monkeypatch.setattr(near_duplicates, "_sets", lambda *_: iter([(0, np.repeat([0, 1], 10), runs, np.array([10, 10]), np.array([7, 8]))]))
-    everything = types.SimpleNamespace(value=np.full(near_duplicates.BLOOM // 8, 255, np.uint8))
+    everything = types.SimpleNamespace(value=np.full(1 << 14, -1, np.int64).view(np.uint64))
     (sets,) = near_duplicates._arrays(5, 0, everything)([pa.record_batch([pa.array(["", ""])], names=["text"])])
     x, y = sets.column("runs")
     rows = [(1, 7, None, x), (1, 8, None, y), (1, 7, 8, None), (2, 7, None, x), (2, 9, None, x), (2, 7, 9, None)]
@@ -229,6 +229,14 @@ def test_verification_tells_runs_apart_that_share_32_bits(monkeypatch):
     assert got.to_pylist() == [{"a": 7, "b": 9, "similarity": 1.0}]
 
 
+def test_the_bitmap_holds_all_classes(spark):
+    ids = np.random.default_rng(6).integers(-(2**63), 2**63, (500, 2))
+    df = spark.createDataFrame(pa.table([pa.array(ids[:, 0]), pa.array(ids[:, 1])], names=["a", "b"])).repartition(3)
+    words = near_duplicates._bloom(df, 20)
+    assert near_duplicates._inside(ids.ravel(), words).all()
+    assert near_duplicates._inside(ids.ravel() + 1, words).sum() < 20
+
+
 def test_groups_hold_short_texts(spark):
     """Texts with fewer words than a run come out, exact copies in one group; only min_words leaves texts out."""
     texts = ["See above", "see above!", "above see", "ok", "OK", "", "", " ", "...", "中文没有空格的长句子" * 40, "中文没有空格的长句子" * 40, "a b c d", "a b c d e", "a b c d e", None]
