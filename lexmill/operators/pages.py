@@ -38,12 +38,15 @@ def where_all(df: DataFrame, *predicates: Column) -> DataFrame:
     return df
 
 
-def latest_revisions(revs: DataFrame, n: int, page: str = "page_id", ts: str = "ts", tie: str = "rev_id") -> DataFrame:
+def latest_revisions(revs: DataFrame, n: int, page: str = "page_id", ts: str = "ts", tie: str = "rev_id", many_copies: bool = False) -> DataFrame:
     """The latest n revisions of each page; equal times: the higher ``tie``.
 
-    Ranked with copies sharing a rank, so each task keeps at most n revisions of a page before anything
-    is sent: a page with a third of all revisions is no hot key.
+    Ranked with copies sharing a rank, so each task keeps at most n revisions of a page, with their copies, before anything
+    is sent: a page with a third of all revisions is no hot key.  Where one revision may be delivered very many times,
+    ``many_copies`` lets each task drop its copies first, for one more exchange.
     """
+    if many_copies:
+        revs = revs.dropDuplicates([page, tie])
     order = Window.partitionBy(page).orderBy(F.col(ts).desc_nulls_last(), F.col(tie).desc())
     top = revs.withColumn("_lexmill_rank", F.dense_rank().over(order)).where(F.col("_lexmill_rank") <= n).drop("_lexmill_rank")
     return top.dropDuplicates([page, tie])
@@ -75,8 +78,3 @@ def char_budget(revs: DataFrame, budget: int = config.CHAR_BUDGET, page: str = "
     order = Window.partitionBy(page).orderBy(F.col("ts").asc_nulls_first(), "rev_id").rowsBetween(Window.unboundedPreceding, 0)
     used = F.sum(F.coalesce(F.length("text"), F.lit(0))).over(order)
     return revs.withColumn("text", F.when(used <= budget, F.col("text")))
-
-
-def pages_with_revisions(pages: DataFrame) -> DataFrame:
-    """Reduced pages that have a revision."""
-    return pages.where(F.size("revision") > 0)

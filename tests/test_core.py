@@ -94,6 +94,7 @@ def test_latest_revisions(spark):
     df = spark.createDataFrame(data, "page_id bigint, rev_id bigint, t string").select("page_id", "rev_id", F.col("t").cast("timestamp").alias("ts"), F.lit(1).alias("_rank"))
     out = pages.latest_revisions(df, 2)
     assert rows(out, "page_id", "rev_id") == [(1, 4), (1, 5), (2, 8), (2, 9)] and "_rank" in out.columns
+    assert rows(pages.latest_revisions(df, 2, many_copies=True), "page_id", "rev_id") == rows(out, "page_id", "rev_id")
     arrived = df.where("page_id = 1").distinct().withColumn("seq", -F.col("rev_id"))
     assert rows(pages.latest_by_arrival(arrived, 2), "rev_id") == [(3,), (5,)]
     assert rows(pages.latest_by_arrival(arrived.withColumn("seq", F.col("rev_id")), 2), "rev_id") == [(4,), (5,)]
