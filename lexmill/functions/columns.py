@@ -59,12 +59,12 @@ def parse_time(flag: Column) -> Column:
     return F.to_timestamp(flag, "yyyy-MM-dd'T'HH:mm")
 
 
-#: Patterns and replacements, in order; few passes, as each reads the whole text.
+#: Patterns and replacements, in order; few passes, as each reads the whole text. Three of them take templates, from the inside out.
 _MARKUP = (
     (r"(?is)<!--.*?-->|<(?:script|style|ref)\b[^>]*?/>|<script\b.*?</script>|<style\b.*?</style>|<ref\b.*?</ref>|\{\{[^{}]*\}\}", " "),
     (r"(?is)\{\{[^{}]*\}\}|\{\|.*?\|\}|\[\[(?:file|image|category):[^\[\]]*\]\]", " "),
     (r"\[\[(?:[^\[\]|]*\|)?([^\[\]]*)\]\]|\[[a-z]+://[^\s\]]+\s*([^\]]*)\]", "$1$2"),
-    (r"</?[A-Za-z][^>]*>|&nbsp;", " "),
+    (r"</?[A-Za-z][^>]*>|&nbsp;|\{\{[^{}]*\}\}", " "),
     (r"(?m)^=+[ \t]*(.*?)[ \t]*=+[ \t]*$", "$1"),
     (r"(?m)'{2,5}|^[*#:;]+[ \t]*", ""),
 )

@@ -11,6 +11,7 @@ from lexmill import config
 from lexmill.scratch import save
 
 NAMES = {"pages": "pages_top", "topics": "topics_top", "words": "words_top", "totals": "totals", "badwords": "badwords"}
+GZIP = {"compression": "gzip", "zlib.compress.level": "BEST_COMPRESSION"}  # level 9
 SCHEMAS = {
     "pages": "lang string, page_id bigint, topic_id bigint, tot bigint, words map<string,double>",
     "topics": "lang string, topic_id bigint, tot bigint, words map<string,bigint>",
@@ -26,8 +27,8 @@ def path_of(spark: SparkSession, path: str):
 
 
 def write(df: DataFrame, folder: str, kind: str) -> None:
-    """One result as gzipped JSON lines."""
-    df.select(*(c.split()[0] for c in SCHEMAS[kind].split(", "))).write.mode("overwrite").option("compression", "gzip").json(f"{folder}/{NAMES[kind]}")
+    """One result as gzipped JSON lines, level 9."""
+    df.select(*(c.split()[0] for c in SCHEMAS[kind].split(", "))).write.mode("overwrite").options(**GZIP).json(f"{folder}/{NAMES[kind]}")
 
 
 class Results:
@@ -90,7 +91,7 @@ def write_lines(df: DataFrame, path: str, key: str, value: str, gzip: bool = Fal
     closing = df.sparkSession.createDataFrame([(None, "}" if ends["first"] is not None else "{}")], lines.schema)
     out = lines.union(closing).orderBy(F.col("key").asc_nulls_last()).select("value").write.mode("overwrite")
     if gzip:
-        out = out.option("compression", "gzip").option("zlib.compress.level", "BEST_COMPRESSION")
+        out = out.options(**GZIP)
     out.text(path)
 
 

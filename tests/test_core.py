@@ -126,7 +126,7 @@ def test_names(spark):
 
 
 def test_markup_and_tokens(spark):
-    raw = "== Head ==\n* A [[b|link]] [[plain]] '''bold''' {{t|{{u}}}} <ref>no</ref><b>yes</b> &amp; [http://x.y site] don't x1 <!-- c -->"
+    raw = "== Head ==\n* A [[b|link]] [[plain]] '''bold''' {{t|{{u|{{v}}}}}} <ref>no</ref><b>yes</b> &amp; [http://x.y site] don't x1 <!-- c -->"
     df = spark.createDataFrame([("en", raw), ("en", None), ("en", ""), ("de", "Größe " * 50_000)], "lang string, text string").withColumn("text", C.clean_markup(F.col("text")))
     out = text.explode_tokens(text.blank(df))
     assert [r.term for r in out.where("lang = 'en'").orderBy("pos").collect()] == ["head", "a", "link", "plain", "bold", "yes", "site"]
