@@ -290,8 +290,9 @@ def votes(labels: DataFrame, id_col: str, rater: str, label: str, positive: tupl
 
 
 def _pick(rows: DataFrame, most: int) -> DataFrame:
-    """Of rows (id, chars), those with the smallest hash of the id: at most ``most``, and MOST_CHARS characters together."""
+    """Of rows (id, chars), those with the smallest hash of the id: at most ``most``, and MOST_CHARS characters together, none with a twentieth of them."""
     picked = rows.orderBy(F.xxhash64("id"), "id").limit(most).toPandas()
+    picked = picked[picked["chars"] <= MOST_CHARS // 20]  # none so long that it leaves no room
     ids = picked["id"][picked["chars"].cumsum() <= MOST_CHARS]
     return rows.sparkSession.createDataFrame([(int(i),) for i in ids], "id bigint")
 
