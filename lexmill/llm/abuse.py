@@ -234,12 +234,15 @@ def train(texts: list[str], positive: np.ndarray, votes: np.ndarray, sure: list[
     feats, size, doc = _features(texts)
     if not len(size) or not label.any() or label.all():
         return Model(np.zeros(1 << BITS, np.float32), -10.0, 0.5)
-    pairs = np.unique(np.repeat(doc, size) << BITS | feats)
-    known = np.bincount(pairs & ((1 << BITS) - 1), minlength=1 << BITS) >= max(2, round(LEAST_SHARE * label.sum()))
+    kind = np.uint32 if len(texts) <= 1 << (32 - BITS) else np.uint64
+    pairs = np.repeat(doc.astype(kind) << kind(BITS), size)
+    pairs |= feats.astype(kind)
+    known = np.bincount(np.unique(pairs) & kind((1 << BITS) - 1), minlength=1 << BITS) >= max(2, round(LEAST_SHARE * label.sum()))
+    del pairs
     mask = known[feats]
     used = np.add.reduceat(mask, np.concatenate(([0], np.cumsum(size)[:-1])), dtype=np.int64)
     feats = feats[mask]
-    owner = np.repeat(np.arange(len(size)), used)
+    owner = np.repeat(np.arange(len(size), dtype=np.int32), used)
     size = size + SMOOTH
     count = np.bincount(doc, minlength=len(texts))
     y = label[doc].astype(np.int64)
