@@ -96,7 +96,8 @@ _SCHEMA = "id bigint, words binary, pos array<bigint>, seed array<bigint>"
 
 
 def _probe(h: np.ndarray, j: int, bits: int) -> np.ndarray:
-    return vec.mix(h + U64(j * 0xD1342543DE82EF95 % (1 << 64))) >> U64(64 - bits)
+    """The j-th place of each seed; the first, which all windows of the corpus are looked up at, is of its own bits."""
+    return (h if j == 0 else vec.mix(h + U64(j * 0xD1342543DE82EF95 % (1 << 64)))) >> U64(64 - bits)
 
 
 def bloom(seeds: np.ndarray) -> np.ndarray:
