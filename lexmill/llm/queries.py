@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lexmill.llm import abuse, encodings, frequent, leaks, mixing, near_duplicates, pieces, term_counts, top_n
@@ -32,10 +32,30 @@ def p1_found(spark: SparkSession, d: str) -> DataFrame:
     return pages.union(topics)
 
 
+FEW_REPEATED = 1_000_000  # repeated pages whose first places are broadcast, 24 bytes each
+
+
+def _once(pages: DataFrame, content: Column, *columns: Column | str) -> DataFrame:
+    """``columns`` of each page once; ``pages`` is a table of files, ``content`` tells pages without an id apart.
+
+    A page's first row in the files is kept.  Ids and places in the files, combined within each task, tell which pages are
+    repeated; where these are few, their other rows are left out in the scan, else pages are sent whole.
+    """
+    place = F.struct(F.xxhash64("_metadata.file_path").alias("file"), F.col("_metadata.row_index").alias("row"))
+    alone = pages.where("page_id IS NULL").withColumn("_alone", content).dropDuplicates(["_alone"]).select(*columns)
+    whole = pages.where("page_id IS NOT NULL")
+    firsts = whole.select("page_id", place.alias("place")).groupBy("page_id").agg(F.min("place").alias("_first"), F.count("*").alias("_n"))
+    firsts = save(firsts.where("_n > 1").select("page_id", "_first"), "repeated")
+    if firsts.count() > FEW_REPEATED:
+        return whole.dropDuplicates(["page_id"]).select(*columns).union(alone)
+    named = whole.select("page_id", place.alias("_place"), *(c.alias(f"_c{i}") if isinstance(c, Column) else F.col(c).alias(f"_c{i}") for i, c in enumerate(columns)))
+    kept = named.join(F.broadcast(firsts), "page_id", "left").where("_first IS NULL OR _first = _place")
+    return kept.select(*(f"_c{i}" for i in range(len(columns)))).union(alone)
+
+
 def _page_tokens(spark: SparkSession, d: str) -> DataFrame:
-    pages = table(spark, d, "normalised_page").select("page_id", "lang", F.flatten(F.filter(F.col("revision.text"), lambda x: x.isNotNull())).alias("tokens"))
-    alone = F.when(F.col("page_id").isNull(), F.xxhash64("tokens")).alias("alone")  # pages without an id are told apart by content
-    return save(pages.select("*", alone).dropDuplicates(["page_id", "alone"]).select("lang", "tokens"), "tokens")
+    tokens = F.flatten(F.filter(F.col("revision.text"), lambda x: x.isNotNull()))
+    return save(_once(table(spark, d, "normalised_page"), F.xxhash64(tokens), "lang", tokens.alias("tokens")).toDF("lang", "tokens"), "tokens")
 
 
 def p2_counts(spark: SparkSession, d: str) -> DataFrame:
@@ -81,9 +101,7 @@ def p4_found(spark: SparkSession, d: str) -> DataFrame:
 
 
 def _page_terms(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
-    alone = F.when(F.col("page_id").isNull(), F.to_json("words")).alias("alone")  # pages without an id are told apart by content
-    pages = table(spark, d, "page_words").where("words IS NOT NULL").select("page_id", "lang", "words", alone).dropDuplicates(["page_id", "alone"])
-    pages = save(pages.select("lang", "words"), "pages")
+    pages = save(_once(table(spark, d, "page_words").where("words IS NOT NULL"), F.to_json("words"), "lang", "words").toDF("lang", "words"), "pages")
     terms = pages.select("lang", F.explode("words").alias("word", "n")).withColumn("pages", F.lit(1))
     totals = pages.where(F.size("words") > 0).groupBy(F.col("lang").alias("tk")).agg(F.count("*").alias("total"))
     return terms, totals

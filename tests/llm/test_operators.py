@@ -30,6 +30,16 @@ def test_every_query_runs(spark):
         assert rows or name in ("p6_found",), name
 
 
+def test_pages_are_taken_once(spark, tmp_path, monkeypatch):
+    """Repeated pages count once, whether they are few or many; pages without an id are told apart by content."""
+    rows = [(1, "en", {"a": 1}), (1, "en", {"a": 1}), (2, "de", {"b": 2}), (None, "en", {"c": 1}), (None, "en", {"c": 1}), (None, "en", {"d": 1}), (3, None, None), (2, "de", {"b": 2}), (4, None, {})]
+    spark.createDataFrame(rows, "page_id bigint, lang string, words map<string,bigint>").repartition(4).write.parquet(str(tmp_path / "page_words.parquet"))
+    for few in (10, 0):
+        monkeypatch.setattr(queries, "FEW_REPEATED", few)
+        got = sorted((r.lang, r.word, r.occurrences, r.pages) for r in queries.p5_terms(spark, str(tmp_path)).collect())
+        assert got == [("de", "b", 2, 1), ("en", "a", 1, 1), ("en", "c", 1, 1), ("en", "d", 1, 1)]
+
+
 # ---- words
 
 
