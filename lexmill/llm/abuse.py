@@ -168,6 +168,12 @@ def _features(texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return np.concatenate(rows), np.concatenate(sizes), np.concatenate(docs)
 
 
+def _order(f: np.ndarray) -> np.ndarray:
+    """A stable order of features, by 16 bits at a time, which numpy sorts in linear time."""
+    low = np.argsort((f & 0xFFFF).astype(np.uint16), kind="stable")
+    return low[np.argsort((f >> 16).astype(np.uint16)[low], kind="stable")]
+
+
 class _Trainer:
     def __init__(self, rng: np.random.Generator):
         self.rng = rng
@@ -189,9 +195,10 @@ class _Trainer:
             idx = np.repeat(start[p] - np.concatenate(([0], np.cumsum(s)[:-1])), s) + np.arange(s.sum())
             f = feats[idx]
             owner = np.repeat(np.arange(len(p), dtype=np.int32), s)
-            order = np.argsort(f, kind="stable")
-            uniq, first = np.unique(f[order], return_index=True)
-            prepared.append((p, f, np.concatenate(([0], np.cumsum(s)[:-1])), owner[order], uniq, first))
+            order = _order(f)
+            ordered = f[order]
+            first = np.flatnonzero(np.diff(ordered, prepend=-1))
+            prepared.append((p, f, np.concatenate(([0], np.cumsum(s)[:-1])), owner[order], ordered[first], first))
         for _ in range(n):
             for p, f, first, owner, uniq, ufirst in prepared:
                 hidden = np.stack([np.add.reduceat(e[f], first) for e in self.e], axis=1) / size[p][:, None].astype(np.float32)
@@ -234,11 +241,11 @@ def train(texts: list[str], positive: np.ndarray, votes: np.ndarray, sure: list[
     feats, size, doc = _features(texts)
     if not len(size) or not label.any() or label.all():
         return Model(np.zeros(1 << BITS, np.float32), -10.0, 0.5)
-    kind = np.uint32 if len(texts) <= 1 << (32 - BITS) else np.uint64
-    pairs = np.repeat(doc.astype(kind) << kind(BITS), size)
-    pairs |= feats.astype(kind)
-    known = np.bincount(np.unique(pairs) & kind((1 << BITS) - 1), minlength=1 << BITS) >= max(2, round(LEAST_SHARE * label.sum()))
-    del pairs
+    order = _order(feats)
+    ordered, of = feats[order], np.repeat(doc.astype(np.int32), size)[order]  # texts in order within a feature
+    other = np.concatenate(([True], (ordered[1:] != ordered[:-1]) | (of[1:] != of[:-1])))
+    known = np.bincount(ordered[other], minlength=1 << BITS) >= max(2, round(LEAST_SHARE * label.sum()))
+    del order, ordered, of, other
     mask = known[feats]
     used = np.add.reduceat(mask, np.concatenate(([0], np.cumsum(size)[:-1])), dtype=np.int64)
     feats = feats[mask]
